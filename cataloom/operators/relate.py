@@ -108,14 +108,14 @@ def running_total(
     rows = _sliced(df.withColumn("_amount", amount), order, width)
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     slices = rows.groupBy(*keys, "_slice").agg(F.sum("_amount").alias("_sum"))
-    slices = slices.select(*keys, "_slice", F.sum("_sum").over(earlier).alias("_before"))
+    slices = slices.select(*keys, "_slice", F.sum("_sum").over(earlier).alias("_carry"))
     inside = (
         Window.partitionBy(*keys, "_slice").orderBy(order)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     rows = rows.join(slices, [*keys, "_slice"])
-    total = F.coalesce(F.sum("_amount").over(inside), F.lit(0)) + F.coalesce("_before", F.lit(0))
-    return rows.withColumn(out, total).drop("_amount", "_slice", "_before")
+    total = F.coalesce(F.sum("_amount").over(inside), F.lit(0)) + F.coalesce("_carry", F.lit(0))
+    return rows.withColumn(out, total).drop("_amount", "_slice", "_carry")
 
 
 def forward_fill(

@@ -139,7 +139,7 @@ def top_credits(
     before = Window.partitionBy(*keys).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     used = F.coalesce(F.sum("_full").over(before), F.lit(0)) + F.length("NAME")
     kept = used + 2 * F.greatest(F.col("pos") - 1, F.lit(1)) <= max_chars
-    return rows.filter(kept).drop("_full")
+    return rows.withColumn("_kept", kept).filter("_kept").drop("_full", "_kept")
 
 
 @dataclass(frozen=True)
