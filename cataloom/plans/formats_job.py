@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import values as V
@@ -32,15 +32,15 @@ def extract_formats(movie: DataFrame, audit: Audit) -> DataFrame:
 
 def technical_values(movie: DataFrame) -> DataFrame:
     """One row per movie and technical value, with the rank of its type."""
-    lists = [
-        F.transform(
+    def typed(rank: int, kind: str, column: str) -> Column:
+        return F.transform(
             pipe_items(column),
-            lambda v, rank=rank, kind=kind: F.struct(
+            lambda v: F.struct(
                 F.lit(rank).alias("rank"), F.lit(kind).alias("TECHNICAL_TYPE"), v.alias("DESCRIPTION")
             ),
         )
-        for rank, (kind, column) in enumerate(V.TECHNICAL_TYPES)
-    ]
+
+    lists = [typed(rank, kind, column) for rank, (kind, column) in enumerate(V.TECHNICAL_TYPES)]
     none = F.expr("cast(array() as array<struct<rank:int,TECHNICAL_TYPE:string,DESCRIPTION:string>>)")
     rows = movie.filter(F.col("WIKIPEDIA_FORMAT_LINE").isNotNull())
     return rows.select(
