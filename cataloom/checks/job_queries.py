@@ -291,6 +291,11 @@ def _fields_columns() -> dict[str, Column]:
     return out
 
 
+def _part_fields(spark, sf) -> DataFrame:
+    fields = [v.alias(n) for n, v in _fields_columns().items()]
+    return read(spark, sf, "part").select("p_partkey", *fields)
+
+
 def _sentences_sql(lang: str) -> str:
     parts = []
     for test, fr, en in V.SENTENCES:
@@ -312,16 +317,15 @@ w AS (SELECT p_partkey, t.w, min(t.pos) AS pos FROM f, unnest(string_split(conca
     WITH ORDINALITY AS t(w, pos) WHERE t.w <> '' GROUP BY ALL)
 SELECT p_partkey, string_agg(w, ' ' ORDER BY pos) AS TEXT_DOC FROM w GROUP BY 1""")
 def _(spark, sf):
-    return read(spark, sf, "part").select("p_partkey", TX.keyword_document(_fields_columns(), []).alias("TEXT_DOC"))
+    return _part_fields(spark, sf).select("p_partkey", TX.keyword_document([]).alias("TEXT_DOC"))
 
 
 @query("f23_sentences", f"""
 WITH f AS (SELECT p_partkey, {_fields_sql()} FROM part)
 SELECT p_partkey, {_sentences_sql("fr")} AS TEXT_FR, {_sentences_sql("en")} AS TEXT_EN FROM f""")
 def _(spark, sf):
-    fields = _fields_columns()
-    return read(spark, sf, "part").select(
-        "p_partkey", TX.sentences(fields, "fr").alias("TEXT_FR"), TX.sentences(fields, "en").alias("TEXT_EN")
+    return _part_fields(spark, sf).select(
+        "p_partkey", TX.sentences("fr").alias("TEXT_FR"), TX.sentences("en").alias("TEXT_EN")
     )
 
 

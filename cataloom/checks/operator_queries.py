@@ -23,7 +23,8 @@ c = F.col
 
 def pick(items: list[str], index: Column) -> Column:
     """Text chosen by a number: derives test texts for every row."""
-    return F.element_at(F.array(*[F.lit(x) for x in items]), (F.pmod(index, F.lit(len(items))) + 1).cast("int"))
+    texts = F.expr(f"array({', '.join(C.quoted(x) for x in items)})")
+    return F.element_at(texts, (F.pmod(index, F.lit(len(items))) + 1).cast("int"))
 
 
 def sql_list(items: list[str]) -> str:

@@ -29,6 +29,18 @@ def present(c: Column | str) -> Column:
     return c.isNotNull() & (c != "")
 
 
+def quoted(text: str) -> str:
+    """A text as an SQL literal."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def literal_map(mapping: Mapping[str, object]) -> Column:
+    """Constant map column."""
+    parts = [quoted(x) if isinstance(x, str) else str(x).lower() for pair in mapping.items() for x in pair]
+    return F.expr(f"map({', '.join(parts)})")
+
+
 def text_or_null(c: Column | str) -> Column:
     return F.nullif(as_col(c), F.lit(""))
 
@@ -246,7 +258,7 @@ def pipe_to_list(c: Column | str) -> Column:
 
 def translate_terms(c: Column | str, mapping: Mapping[str, str]) -> Column:
     """Translate the items of a pipe list, keeping unknown items and empty ends."""
-    table = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
+    table = literal_map(mapping)
     items = F.transform(
         F.split(as_col(c), r"\|"), lambda x: F.coalesce(F.try_element_at(table, x), x)
     )

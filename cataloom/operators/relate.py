@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import values as V
-from ..functions.columns import first_present, flag, present, trim_spaces
+from ..functions.columns import first_present, flag, literal_map, present, trim_spaces
 
 # Spark cuts ranked groups before the shuffle up to this rank
 GROUP_LIMIT = 1000
@@ -202,8 +202,7 @@ def route_sections(
     targets = list(V.SECTIONS_EXACT.values())
 
     def lookup(mapping: dict[str, str]) -> Column:
-        table = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
-        return F.try_element_at(table, F.col("_title"))
+        return F.try_element_at(literal_map(mapping), F.col("_title"))
 
     rows = sections.select(
         key,

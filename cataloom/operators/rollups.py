@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import values as V
-from ..functions.columns import alias_words, flag, present, text_or_empty, word_count
+from ..functions.columns import alias_words, flag, literal_map, present, text_or_empty, word_count
 from .relate import flag_exists, members, top_n, with_labels
 
 
@@ -187,8 +187,7 @@ def department_credits(
         column = F.when(test, F.lit(r.column)).otherwise(column)
 
     def by_rule(pick) -> Column:
-        table = F.create_map(*[x for r in rules for x in (F.lit(r.column), F.lit(pick(r)))])
-        return F.element_at(table, F.col("list"))
+        return F.element_at(literal_map({r.column: pick(r) for r in rules}), F.col("list"))
 
     rows = crew.withColumn("list", column).filter(F.col("list").isNotNull() & present("NAME"))
     group = [*keys, "list"]

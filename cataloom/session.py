@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # plans here have thousands of column calls; do not record the call site of each
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
