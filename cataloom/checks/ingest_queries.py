@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..plans import ingest
+from ..session import stage
 from ..sources.payloads import parse_payloads
 from .catalogue import DEPARTMENTS, GENRES, case, text
 from .operator_queries import pick, pick_sql
@@ -22,9 +23,9 @@ LINE_SQL = ", ".join(LINE)
 
 
 def landed(rows: DataFrame, kind: str) -> DataFrame:
-    """Rows as JSON texts, parsed with the payload schema."""
+    """Rows as JSON texts, parsed with the payload schema and staged."""
     texts = rows.select(F.to_json(F.struct(*rows.columns)).alias("body"))
-    return parse_payloads(texts, "body", schemas.PAYLOADS[kind]).select("payload.*")
+    return stage(parse_payloads(texts, "body", schemas.PAYLOADS[kind]).select("payload.*"))
 
 
 def current(spark, name: str, rows: DataFrame | None = None) -> DataFrame:

@@ -610,12 +610,10 @@ def _(spark, sf):
 
 _PROPERTY_TEXT = f"""
 {_EDGES},
-rows_ AS (SELECT e.ID_WIKIDATA, ID_PROPERTY, LABEL, i.LANG,
-    ROW(DISPLAY_ORDER, ID_ITEM, i.LANG) AS o
-  FROM edges e JOIN items i ON e.ID_ITEM = i.ID_WIKIDATA WHERE LABEL <> '' AND LABEL <> ID_ITEM),
-labels_ AS (SELECT ID_WIKIDATA, ID_PROPERTY, LABEL, min(o) AS o, max(o) FILTER (LANG = 'fr') AS s FROM rows_ GROUP BY ALL),
-texts AS (SELECT ID_WIKIDATA, ID_PROPERTY,
-    coalesce(arg_max(LABEL, s) FILTER (s IS NOT NULL), string_agg(LABEL, ', ' ORDER BY o)) AS TEXT
+labels_ AS (SELECT e.ID_WIKIDATA, ID_PROPERTY, LABEL, min(DISPLAY_ORDER) AS o, max(DISPLAY_ORDER) FILTER (i.LANG = 'fr') AS s
+  FROM edges e JOIN items i ON e.ID_ITEM = i.ID_WIKIDATA WHERE LABEL <> '' AND LABEL <> ID_ITEM GROUP BY ALL),
+texts AS (SELECT ID_WIKIDATA, ID_PROPERTY, coalesce(arg_max(LABEL, ROW(s, LABEL)) FILTER (s IS NOT NULL),
+    string_agg(LABEL, ', ' ORDER BY o, LABEL)) AS TEXT
   FROM labels_ GROUP BY ALL)"""
 
 
@@ -911,11 +909,24 @@ def _(spark, sf):
     return rows.select("doc_id", FM.tag_terms("l", words).alias("tags"))
 
 
-@query("f3_f8_format_columns", f"""
-WITH {_LINES} SELECT p_partkey, {", ".join(f"{s} AS {n}" for n, s in FORMAT_SQL.items())} FROM lines""")
-def _(spark, sf):
-    rows = _format_lines(spark, sf)
-    return rows.select("p_partkey", *[v.alias(n) for n, v in FM.format_columns("l").items()])
+def _format_query(name: str, columns: list[str]) -> None:
+    """Query over some of the columns read from a cleaned line."""
+    sql = ", ".join(f"{FORMAT_SQL[n]} AS {n}" for n in columns)
+
+    @query(name, f"WITH {_LINES} SELECT p_partkey, {sql} FROM lines")
+    def _(spark, sf):
+        found = FM.format_columns("l")
+        return _format_lines(spark, sf).select("p_partkey", *[found[n].alias(n) for n in columns])
+
+
+_format_query("f2_technology_tags", ["COLOR_TECHNOLOGY", "FILM_TECHNOLOGY", "SOUND_TECHNOLOGY"])
+_format_query("f3_aspect_ratio", ["ASPECT_RATIO"])
+_format_query("f4_sound_system", ["SOUND_SYSTEM"])
+_format_query("f5_film_format", ["FILM_FORMAT"])
+_format_query("f6_format_flags", ["IS_COLOR", "IS_BLACK_AND_WHITE", "IS_SILENT", "IS_3D"])
+_format_query("f7_track_count", ["NUM_AUDIO_TRACKS"])
+_format_query("f8_is_valid_format", ["IS_VALID_FORMAT"])
+_format_query("f3_f8_format_columns", list(FORMAT_SQL))
 
 
 _GENRE_LISTS = ["|Drama|Unknown|TV Movie|", "|", "|Comedy|", "|Science Fiction|Action|War|", "|Documentary|Music|"]

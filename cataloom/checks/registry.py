@@ -3,13 +3,14 @@ the same over whole tables, its SQL text."""
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.changes import Audit
+from ..session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,8 +34,5 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """New folder for written tables, in the shared folder the cluster names."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared}/cataloom-{datetime.now().strftime('%Y%m%d%H%M%S%f')}"
-    return tempfile.mkdtemp(prefix="cataloom-")
+    """New folder for written tables."""
+    return f"{shared_folder(spark)}/cataloom-{uuid.uuid4().hex}"

@@ -54,20 +54,11 @@ def _field(df: DataFrame, name: str) -> T.DataType:
     return df.schema[name].dataType
 
 
-def upsert(
-    target: DataFrame,
-    changes: DataFrame,
-    keys: Sequence[str],
-    audit: Audit | None = None,
-    optional: Sequence[str] = (),
-    keep_first: Sequence[str] = (),
+def _merge(
+    target: DataFrame, changes: DataFrame, keys: Sequence[str], audit: Audit | None,
+    optional: Sequence[str] = (), keep_first: Sequence[str] = (),
 ) -> DataFrame:
-    """Insert new keys; on known keys set the supplied columns only.
-
-    A supplied null overwrites.  Columns in ``optional`` are written only when
-    their new value is non-empty, columns in ``keep_first`` only on insert.
-    Both inputs hold each key once.  One shuffle per side, on the key.
-    """
+    """Target columns after an upsert, plus ``_new``: the row was written now."""
     keys = list(keys)
     supplied = [c for c in changes.columns if c not in keys]
     unknown = [c for c in supplied if c not in target.columns]
@@ -97,7 +88,58 @@ def upsert(
             return F.when(write, stamps[name].cast(_field(target, name))).otherwise(before)
         return before
 
-    return rows.select(*[F.col(c) if c in keys else value(c).alias(c) for c in target.columns])
+    return rows.select(
+        *[F.col(c) if c in keys else value(c).alias(c) for c in target.columns], "_new"
+    )
+
+
+def upsert(
+    target: DataFrame,
+    changes: DataFrame,
+    keys: Sequence[str],
+    audit: Audit | None = None,
+    optional: Sequence[str] = (),
+    keep_first: Sequence[str] = (),
+) -> DataFrame:
+    """Insert new keys; on known keys set the supplied columns only.
+
+    A supplied null overwrites.  Columns in ``optional`` are written only when
+    their new value is non-empty, columns in ``keep_first`` only on insert.
+    Both inputs hold each key once.  One shuffle per side, on the key.
+    """
+    return _merge(target, changes, keys, audit, optional, keep_first).drop("_new")
+
+
+def _touched(
+    incoming: DataFrame, parent: Sequence[str], on_empty: str, parents: DataFrame | None
+) -> DataFrame:
+    """Parents whose children a payload may remove."""
+    if on_empty not in ("keep", "purge"):
+        raise ValueError(on_empty)
+    if on_empty == "purge" and parents is None:
+        raise ValueError("purge needs the parents of the payload")
+    source = incoming if on_empty == "keep" else parents
+    return source.select(*parent).distinct().withColumn("_touched", F.lit(True))
+
+
+def replace_children(
+    target: DataFrame,
+    incoming: DataFrame,
+    keys: Sequence[str],
+    parent: Sequence[str],
+    audit: Audit | None = None,
+    on_empty: str = "keep",
+    parents: DataFrame | None = None,
+) -> DataFrame:
+    """``upsert`` and ``sync_children`` in one pass over the target.
+
+    For children whose upsert key names the child: a row survives when it was
+    written now or when its parent is not touched.
+    """
+    rows = _merge(target, incoming, keys, audit)
+    rows = rows.join(_touched(incoming, parent, on_empty, parents), list(parent), "left")
+    rows = rows.filter(F.col("_new").isNotNull() | F.col("_touched").isNull())
+    return rows.select(*target.columns)
 
 
 def mirror_delete(target: DataFrame, eligible: DataFrame, key: str | Sequence[str]) -> DataFrame:
@@ -120,14 +162,9 @@ def sync_children(
     ``purge``: every parent in ``parents`` is cleared down to its incoming rows.
     The target is read once; both markers are unique per key.
     """
-    if on_empty not in ("keep", "purge"):
-        raise ValueError(on_empty)
-    if on_empty == "purge" and parents is None:
-        raise ValueError("purge needs the parents of the payload")
     parent, link = list(parent), [*parent, *child]
-    touched = (incoming if on_empty == "keep" else parents).select(*parent).distinct()
     named = incoming.select(*link).distinct()
-    rows = target.join(touched.withColumn("_touched", F.lit(True)), parent, "left").join(
+    rows = target.join(_touched(incoming, parent, on_empty, parents), parent, "left").join(
         named.withColumn("_named", F.lit(True)), link, "left"
     )
     rows = rows.filter(F.col("_touched").isNull() | F.col("_named").isNotNull())

@@ -74,14 +74,15 @@ def property_text(edges: DataFrame, items: DataFrame, lang: str) -> DataFrame:
     keys = ["ID_WIKIDATA", "ID_PROPERTY"]
     rows = with_labels(edges, items)
     rows = rows.filter(present("LABEL") & (F.col("LABEL") != F.col("ID_ITEM")))
-    order = F.struct("DISPLAY_ORDER", "ID_ITEM", F.coalesce("LANG", F.lit("")).alias("LANG"))
-    rows = rows.withColumn("_ord", order)
-    spoken = F.max(F.when(F.col("LANG") == lang, F.col("_ord")))
-    labels = rows.groupBy(*keys, "LABEL").agg(F.min("_ord").alias("_ord"), spoken.alias("_spoken"))
+    # a missing order sorts first; equal orders are settled by the label
+    order = F.coalesce("DISPLAY_ORDER", F.lit(-1))
+    spoken = F.max(F.when(F.col("LANG") == lang, order)).alias("_spoken")
+    labels = rows.groupBy(*keys, "LABEL").agg(F.min(order).alias("_ord"), spoken)
     listed = F.array_sort(F.collect_list(F.struct("_ord", "LABEL")))
     text = F.array_join(F.transform(listed, lambda x: x["LABEL"]), V.SEPARATOR)
+    last = F.when(F.col("_spoken").isNotNull(), F.struct("_spoken", "LABEL"))
     return labels.groupBy(*keys).agg(
-        F.coalesce(F.max_by("LABEL", "_spoken"), text).alias("TEXT")
+        F.coalesce(F.max(last)["LABEL"], text).alias("TEXT")
     )
 
 
@@ -213,20 +214,20 @@ def department_credits(
 
     def step(s: Column, x: Column) -> Column:
         sep = F.lit(V.SEPARATOR)
-        known = F.contains(F.concat(sep, s["text"], sep), F.concat(sep, x["NAME"], sep))
         fits = s["used"] + 2 + F.length(x["NAME"]) <= F.col("_max")
-        take = ~known & fits & (F.size(s["picks"]) < F.col("_cap"))
+        known = F.contains(F.concat(sep, s["text"], sep), F.concat(sep, x["NAME"], sep))
         gap = F.when(s["text"] != "", sep).otherwise(F.lit(""))
         extra = F.length(x["_row"]["_alias"])
-        grown = s["used"] + F.length(gap) + F.length(x["NAME"]) + F.when(
-            F.col("_full") & (extra > 0), extra + 1
-        ).otherwise(0)
-        return F.struct(
-            F.when(take, F.concat(s["text"], gap, x["NAME"])).otherwise(s["text"]).alias("text"),
-            F.when(take, grown).otherwise(s["used"]).alias("used"),
-            F.when(take, F.concat(s["picks"], F.array(x["_row"])))
-            .otherwise(s["picks"]).alias("picks"),
+        grown = F.struct(
+            F.concat(s["text"], gap, x["NAME"]).alias("text"),
+            (
+                s["used"] + F.length(gap) + F.length(x["NAME"])
+                + F.when(F.col("_full") & (extra > 0), extra + 1).otherwise(0)
+            ).alias("used"),
+            F.concat(s["picks"], F.array(x["_row"])).alias("picks"),
         )
+        # the cheap tests come first; a full list is left alone
+        return F.when((F.size(s["picks"]) < F.col("_cap")) & fits & ~known, grown).otherwise(s)
 
     walk = walk.withColumn("_end", F.aggregate("_items", start, step))
     return walk.select(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import values as V
 from ..functions.columns import pipe_items, present
 from ..functions.formats import clean_format, format_columns
-from ..operators.changes import Audit, number_values, sync_children, upsert
+from ..operators.changes import Audit, number_values, replace_children
 from ..operators.relate import lookup_ci
 
 
@@ -75,5 +75,4 @@ def link_technical(
     spelled = found.select("DESCRIPTION").distinct()
     ids = lookup_ci(spelled, grown, "DESCRIPTION", "DESCRIPTION", "ID_TECHNICAL")
     links = found.join(ids, "DESCRIPTION").select("ID_MOVIE", "ID_TECHNICAL").distinct()
-    written = upsert(bridge, links, ["ID_MOVIE", "ID_TECHNICAL"], audit)
-    return grown, sync_children(written, links, ["ID_MOVIE"], ["ID_TECHNICAL"])
+    return grown, replace_children(bridge, links, ["ID_MOVIE", "ID_TECHNICAL"], ["ID_MOVIE"], audit)

@@ -1,7 +1,9 @@
 """Payloads to entity tables, bridges, credits, images and videos.
 
 Each function takes the current tables and typed payload rows and returns the
-tables it changed.  One payload per id is expected in a batch.
+tables it changed.  One payload per id is expected in a batch.  A job reads the
+payloads once per table it writes: stage JSON payloads as Parquet first
+(``session.stage``), then each of these reads only the columns it needs.
 """
 
 from __future__ import annotations
@@ -17,7 +19,9 @@ from ..functions.columns import (
     clip, flag, list_to_pipe, present, short_film_flag, split_date, text_or_empty, to_local,
     trim_spaces,
 )
-from ..operators.changes import Audit, cascade_delete, stamp, sync_children, upsert
+from ..operators.changes import (
+    Audit, cascade_delete, replace_children, stamp, sync_children, upsert,
+)
 from ..operators.relate import number_items
 from ..sources.payloads import explode_pages
 
@@ -58,8 +62,9 @@ def write_links(
     target: DataFrame, links: DataFrame, key: str, child: str, audit: Audit, delete: bool = True
 ) -> DataFrame:
     """Upsert links and drop those a payload no longer names; empty arrays delete nothing."""
-    written = upsert(target, links, [key, child], audit)
-    return sync_children(written, links, [key], [child]) if delete else written
+    if not delete:
+        return upsert(target, links, [key, child], audit)
+    return replace_children(target, links, [key, child], [key], audit)
 
 
 _TITLE_LINKS = [
@@ -94,13 +99,14 @@ _NO_CREDITS = (
 
 def _ranked(array: Column, kind: str, shift=None) -> Column:
     """Credits of one payload array, each at the first place of its person."""
-    ids = F.transform(array, lambda x: x["id"])
-
-    def one(x: Column) -> Column:
+    def one(x: Column, ids: Column) -> Column:
         order = F.array_position(ids, x["id"]).cast("int")
         return _credit(x, kind, order if shift is None else order + shift(x))
 
-    return F.coalesce(F.transform(array, one), F.expr(_NO_CREDITS))
+    # the outer array binds the ids once per payload
+    ids = F.array(F.transform(array, lambda x: x["id"]))
+    rows = F.transform(ids, lambda known: F.transform(array, lambda x: one(x, known)))
+    return F.coalesce(F.element_at(rows, 1), F.expr(_NO_CREDITS))
 
 
 def payload_credits(payloads: DataFrame, key: str) -> DataFrame:
@@ -168,9 +174,8 @@ def write_credits(
     target: DataFrame, credits: DataFrame, payloads: DataFrame, key: str, audit: Audit
 ) -> DataFrame:
     """Upsert credits; every payload clears its entity down to its own credits."""
-    written = upsert(target, credits, ["ID_CREDIT"], audit)
     parents = payloads.select(c("id").alias(key))
-    return sync_children(written, credits, [key], ["ID_CREDIT"], "purge", parents)
+    return replace_children(target, credits, ["ID_CREDIT"], [key], audit, "purge", parents)
 
 
 # --- titles -----------------------------------------------------------------
@@ -385,8 +390,7 @@ def ingest_lists(tables: Mapping[str, DataFrame], pages: DataFrame, audit: Audit
         key, table = f"ID_{title.upper()}", f"{title}_list"
         links = items.filter(wanted).groupBy("ID_LIST", c("item.id").alias(key))
         links = links.agg(F.max("DISPLAY_ORDER").alias("DISPLAY_ORDER"))
-        written = upsert(tables[table], links, [key, "ID_LIST"], audit)
-        out[table] = sync_children(written, links, ["ID_LIST"], [key])
+        out[table] = replace_children(tables[table], links, [key, "ID_LIST"], ["ID_LIST"], audit)
     return out
 
 
@@ -450,10 +454,10 @@ def ingest_videos(
     """Videos of titles in the requested language; those no longer named are purged."""
     key, table = f"ID_{title.upper()}", f"{title}_video"
     rows = video_rows(payloads, key, tz)
-    written = upsert(tables[table], rows, [key, "LANG", "ID_CREDIT"], audit)
     parents = payloads.select(c("id").alias(key), c("lang").alias("LANG"))
+    link = [key, "LANG", "ID_CREDIT"]
     return {
-        table: sync_children(written, rows, [key, "LANG"], ["ID_CREDIT"], "purge", parents),
+        table: replace_children(tables[table], rows, link, [key, "LANG"], audit, "purge", parents),
         title: stamp(tables[title], parents, key, ["TIM_VIDEOS_COMPLETED"], audit.now),
     }
 

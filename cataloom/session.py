@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,13 +29,28 @@ def build_session(master: str | None = None, app: str = "cataloom", **extra: str
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder the cluster names in ``spark.checkpoint.dir``."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``; a new one where it names none."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        spark.sparkContext.setCheckpointDir(folder)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        # only where no cluster folder is set, as in tests
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cataloom-"))
+    # only where no cluster folder is set, as in tests
+    return folder or tempfile.mkdtemp(prefix="cataloom-")
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the shared folder."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Write rows once to the shared folder as Parquet and read them from there.
+
+    For rows several consumers need: the source is parsed once, and each consumer
+    reads only its own columns, nested ones included.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/cataloom-stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
