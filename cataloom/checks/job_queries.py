@@ -170,7 +170,7 @@ def _(spark, sf):
 @query("g4_serie_topics", with_tables(_TOPIC_TABLES, _TOPICS + """
 SELECT DISTINCT ID_SERIE, ID_TOPIC, DISPLAY_ORDER FROM ms JOIN topics USING (TOPIC_TYPE, ID_RECORD)"""))
 def _(spark, sf):
-    return topics.build_topics(Catalogue(spark, sf))["serie_topic"]
+    return topics.build_topics(Catalogue(spark, sf), staged=True)["serie_topic"]
 
 
 # --- published mirrors ------------------------------------------------------

@@ -12,6 +12,7 @@ from ..functions.columns import eligible_topic_member
 from ..operators.changes import assign_ids
 from ..operators.relate import forward_fill
 from ..operators.rollups import gate, keyword_kpis, member_counts
+from ..session import stage
 
 TOPIC_KEY = ["TOPIC_TYPE", "ID_RECORD", "LANG"]
 
@@ -103,10 +104,15 @@ def topic_members(tables: Mapping[str, DataFrame], title: str) -> DataFrame:
     return listed.unionByName(tagged).unionByName(parts)
 
 
-def build_topics(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Topics with at least two members, and their movie and series bridges."""
+def build_topics(tables: Mapping[str, DataFrame], staged: bool = False) -> dict[str, DataFrame]:
+    """Topics with at least two members, and their movie and series bridges.
+
+    The members feed the counts and both bridges.  ``staged`` writes members and
+    topics once to the shared folder, for jobs that write all three tables.
+    """
     record = ["TOPIC_TYPE", "ID_RECORD"]
-    movies, series = topic_members(tables, "movie"), topic_members(tables, "serie")
+    keep = stage if staged else lambda df: df
+    movies, series = (keep(topic_members(tables, title)) for title in ("movie", "serie"))
     counted = topic_sources(tables)
     for column, rows in (("MOVIE_COUNT", movies), ("SERIE_COUNT", series)):
         sizes = rows.groupBy(*record).agg(F.count(F.lit(1)).alias(column))
@@ -114,7 +120,7 @@ def build_topics(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         counted = counted.withColumn(column, F.coalesce(column, F.lit(0)))
     topics = gate(counted, ["MOVIE_COUNT", "SERIE_COUNT"])
     ids = assign_ids(tables["topic"].select("ID_TOPIC", *TOPIC_KEY), topics, TOPIC_KEY, "ID_TOPIC")
-    topics = topics.join(ids, TOPIC_KEY)
+    topics = keep(topics.join(ids, TOPIC_KEY))
 
     def bridge(rows: DataFrame, key: str) -> DataFrame:
         linked = rows.join(topics.select("ID_TOPIC", *record), record)
