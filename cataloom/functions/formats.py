@@ -80,14 +80,16 @@ def film_format(c: Column | str) -> Column:
 
 
 def track_count(c: Column | str) -> Column:
-    digits = F.regexp_extract(as_col(c), V.TRACK_COUNT, 1)
+    c = as_col(c)
+    # the pattern is tried only where it can match: most lines name no track
+    digits = F.when(contains_any(c, ["track", "piste"]), F.regexp_extract(c, V.TRACK_COUNT, 1))
     return F.coalesce(digits.try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def is_valid_format(c: Column | str) -> Column:
     c = as_col(c)
-    complete = c.rlike(V.VALID_COLOR) & c.rlike(V.VALID_RATIO) & c.rlike(V.VALID_MEDIUM)
-    return complete | contains_any(c, V.VALID_NAMED_FORMATS)
+    complete = c.rlike(V.VALID_COLOR) & c.rlike(V.VALID_MEDIUM) & c.rlike(V.VALID_RATIO)
+    return contains_any(c, V.VALID_NAMED_FORMATS) | complete
 
 
 def format_flags(c: Column | str) -> dict[str, Column]:
