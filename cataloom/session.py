@@ -1,7 +1,8 @@
-"""Session settings for cluster runs, and the checkpoint folder."""
+"""Session settings for cluster runs, the checkpoint folder and staged tables."""
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -13,12 +14,16 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split skewed join partitions even when that costs one more exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # lists of up to 3000 characters can need 1521 names: cut them before the shuffle too
+    "spark.sql.optimizer.windowGroupLimitThreshold": "4000",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     # plans here have thousands of column calls; do not record the call site of each
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+_staged: list[str] = []
+
 
 def build_session(master: str | None = None, app: str = "cataloom", **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -30,10 +35,18 @@ def build_session(master: str | None = None, app: str = "cataloom", **extra: str
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; a new one where it names none."""
+    """The folder the cluster names in ``spark.checkpoint.dir``.
+
+    A local master may do without: it gets a new folder. Any other master must name
+    one, because its executors do not see the driver's folders.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    # only where no cluster folder is set, as in tests
-    return folder or tempfile.mkdtemp(prefix="cataloom-")
+    if folder:
+        return folder.rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
+    return tempfile.mkdtemp(prefix="cataloom-")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -48,9 +61,28 @@ def stage(df: DataFrame) -> DataFrame:
     """Write rows once to the shared folder as Parquet and read them from there.
 
     For rows several consumers need: the source is parsed once, and each consumer
-    reads only its own columns, nested ones included.
+    reads only its own columns, nested ones included. The folder goes with
+    ``drop_staged`` or when the driver ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/cataloom-stage-{uuid.uuid4().hex}"
+    if not _staged:
+        atexit.register(_drop_at_exit)
+    _staged.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Remove all folders that ``stage`` has written in this driver."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _staged:
+        path = jvm.org.apache.hadoop.fs.Path(_staged.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
+def _drop_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.sparkContext._jsc is not None:
+        drop_staged(spark)
