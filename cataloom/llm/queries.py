@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import quality
+from . import quality, shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,3 +31,10 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdicts, _ = quality.quality_verdicts(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return verdicts
+
+
+@query("op9_sharding")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.shard_by_bytes(read(spark, sf_dir, "documents"), 24).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
