@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, shards
+from ..session import shared_folder, stage
+from . import bpe, counts, packing, quality, shards, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +30,38 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op2_bpe_round_trip")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(read(spark, sf_dir, "documents"), BYTE_BPE).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"))
+
+
+@query("op3_token_files")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}"
+    token_files.write_tokens(read(spark, sf_dir, "documents"), WORD_BPE, 1, folder)
+    return token_files.read_tokens(spark, folder).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op6_best_fit_packing")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = packing.pieces(read(spark, sf_dir, "documents"), BYTE_BPE, 0)
+    parts = stage(parts.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+    return packing.best_fit(parts, ["doc_id", "piece"])
+
+
+@query("op7_token_counts")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.count_tokens(read(spark, sf_dir, "documents"), BYTE_BPE).select(
+        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
+
+
 @query("op10_quality_rules")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdicts, _ = quality.quality_verdicts(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
