@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder, stage
-from . import bpe, counts, packing, quality, shards, token_files
+from . import bpe, counts, fingerprints, packing, quality, shards, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,6 +49,30 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query("op5_document_fingerprints")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Besides the contract: how many other documents lie within 3 bits of every hundredth one."""
+    found = fingerprints.edited_fingerprints(read(spark, sf_dir, "documents"))
+    found = stage(found.withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited"))
+    asked = found.where(F.col("doc_id") % 100 == 0).select(F.col("fingerprint").alias("query"))
+    copies = found.groupBy("fingerprint").agg(F.count("*").alias("copies"))
+    near = (
+        fingerprints.within_radius(asked, found).join(copies, "fingerprint")
+        .groupBy("query").agg(F.sum("copies").alias("n"))
+    )
+    own = F.col("fingerprint")
+    return found.join(near, (own == F.col("query")) & (F.col("doc_id") % 100 == 0), "left").select(
+        "doc_id", "n_chars", "edited_sha256", _hex(own).alias("fingerprint"),
+        _hex(F.col("edited_fingerprint")).alias("edited_fingerprint"),
+        fingerprints.likeness(own, F.col("edited_fingerprint")).alias("near_edited"),
+        fingerprints.likeness(own, F.col("next_fingerprint")).alias("near_next"),
+        (F.col("n") - 1).alias("others_within_3_bits"))
+
+
+def _hex(value):
+    return F.lower(F.lpad(F.hex(value), 16, "0"))
+
+
 @query("op6_best_fit_packing")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = packing.pieces(read(spark, sf_dir, "documents"), BYTE_BPE, 0)
