@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder, stage
-from . import bpe, counts, fingerprints, packing, quality, shards, token_files
+from . import bpe, counts, fingerprints, lines, packing, quality, shards, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -92,6 +92,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts
 
 
+@query("op8_line_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents with repeated lines taken out, and how many lines that were."""
+    cleaned = lines.dedup_lines(read(spark, sf_dir, "documents"), info="info")
+    return cleaned.select("doc_id", "info.n_lines", "info.n_removed", "text")
+
+
 @query("op9_sharding")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_by_bytes(read(spark, sf_dir, "documents"), 24).select(
