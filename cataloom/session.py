@@ -57,7 +57,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def stage(df: DataFrame) -> DataFrame:
+def stage(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """Write rows once to the shared folder as Parquet and read them from there.
 
     For rows several consumers need: the source is parsed once, and each consumer
@@ -69,7 +69,7 @@ def stage(df: DataFrame) -> DataFrame:
     if not _staged:
         atexit.register(_drop_at_exit)
     _staged.append(path)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
