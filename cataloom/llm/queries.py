@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder, stage
-from . import bpe, counts, fingerprints, lines, packing, quality, shards, token_files
+from . import bpe, counts, fingerprints, lines, lm, packing, quality, shards, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,6 +49,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query("op4_lm_scoring")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(read(spark, sf_dir, "documents"))
+
+
 @query("op5_document_fingerprints")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Besides the contract: how many other documents lie within 3 bits of every hundredth one."""
