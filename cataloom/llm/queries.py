@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder, stage
-from . import bpe, counts, fingerprints, lines, lm, packing, quality, shards, token_files
+from . import bpe, counts, fingerprints, jaccard, lines, lm, packing, quality, shards, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,6 +34,11 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+@query("op1_ngram_jaccard_join")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 @query("op2_bpe_round_trip")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read(spark, sf_dir, "documents"), BYTE_BPE).select(
