@@ -320,7 +320,7 @@ def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MI
     document: they lose the same lines. A text that loses all its lines becomes empty.
     """
     gone = repeated_lines(docs, threshold, min_chars).groupBy("doc_id", "twin").agg(
-        F.collect_list("line_no").alias("gone"))
+        F.collect_set("line_no").alias("gone"))
     gone = gone.select(F.col("doc_id").alias("gone_doc"), F.col("twin").alias("gone_twin"), "gone")
     # columns travel in a struct, so that no name of theirs can clash
     rows = docs.select(F.struct(*docs.columns).alias("row"))
