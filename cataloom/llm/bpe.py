@@ -22,6 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from .units import UnitTable
 from .workers import map_arrow
 
 #: white space of the pre-token pattern (fixed values)
@@ -34,8 +35,8 @@ PIECES = regex.compile(PRE_TOKEN)
 CUT = re.compile(f"(?<=[^{BLANK}]) (?=[^{BLANK}])")
 SLICE = 1 << 16
 
-#: entries that a worker remembers: units, states of the transducer, token pairs
-UNITS_KEPT, STATES_KEPT, PAIRS_KEPT = 400_000, 500_000, 400_000
+#: entries that a worker remembers: states of the transducer, token pairs
+STATES_KEPT, PAIRS_KEPT = 400_000, 400_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -235,46 +236,44 @@ def segments(text: str, special: re.Pattern | None) -> Iterator[tuple[str, bool]
         yield text[at:], False
 
 
-class _Units(dict):
-    """Encoded ids (little-endian 32 bit) of the units met so far."""
-
-    def __init__(self, merges: Merges):
-        super().__init__()
-        self.merges = merges
-
-    def __missing__(self, unit: str) -> bytes:
-        if len(unit) > 2 * self.merges.lookahead:
-            return b"".join(map(self._long, PIECES.findall(unit)))
-        if len(self) >= UNITS_KEPT:
-            self.clear()
-        short = self.merges.encode_short
-        out = self[unit] = b"".join([short(x.encode()) for x in PIECES.findall(unit)])
-        return out
-
-    def _long(self, piece: str) -> bytes:
-        t, out = Transducer(self.merges), []
-        for at in range(0, len(piece), 4096):
-            out += t.feed(piece[at : at + 4096].encode())
-        return b"".join(map(self.merges.packed.__getitem__, out + t.finish()))
-
-
 class Encoder:
-    """Whole texts to ids, slice by slice."""
+    """Whole texts to ids (little-endian 32 bit)."""
 
     def __init__(self, path: str):
         self.merges = Merges(path)
-        self.units = _Units(self.merges)
+        self.table = UnitTable(self.encode_unit, self.encode, lead=True)
+        # special strings must be told apart from other texts by how they begin
+        if not all(x.startswith("<|") for x in self.merges.special):
+            raise ValueError("special strings must begin with <|")
+
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """Ids of every row of a string column; a null row is empty."""
+        return self.table.encode(texts)
+
+    def encode(self, text: str) -> bytes:
+        """Ids of one text, slice by slice."""
+        return b"".join(self._chunks(text))
 
-    def chunks(self, text: str) -> Iterator[bytes]:
+    def _chunks(self, text: str) -> Iterator[bytes]:
         for part, is_special in segments(text, self.merges.special_cut):
             if is_special:
                 yield self.merges.packed[self.merges.special[part]]
             else:
                 for piece in slices(part):
-                    yield b"".join(map(self.units.__getitem__, UNIT.findall(piece)))
+                    yield from map(self.encode_unit, UNIT.findall(piece))
 
-    def encode(self, text: str) -> bytes:
-        return b"".join(self.chunks(text))
+    def encode_unit(self, unit: str) -> bytes:
+        found = PIECES.findall(unit)
+        if len(unit) > 2 * self.merges.lookahead:
+            return b"".join(map(self._long, found))
+        short = self.merges.encode_short
+        return b"".join([short(x.encode()) for x in found])
+
+    def _long(self, piece: str) -> bytes:
+        t, out = Transducer(self.merges), []
+        for at in range(0, len(piece), 4096):
+            out += t.feed(piece[at : at + 4096].encode())
+        return b"".join(map(self.merges.packed.__getitem__, out + t.finish()))
 
 
 class Decoder:
@@ -297,14 +296,14 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-ROWS = 256  # documents per output batch
+ROWS = 512  # documents per output batch
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
+def _columns(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
     for batch in batches:
         for at in range(0, batch.num_rows, ROWS):
             part = batch.slice(at, ROWS)
-            yield part.column(0), [x or "" for x in part.column(1).to_pylist()]
+            yield part.column(0), part.column(1)
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
@@ -317,8 +316,8 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches):
         e = encoder(path)
-        for ids, texts in _texts(batches):
-            yield pa.RecordBatch.from_arrays([ids, pa.array(map(e.encode, texts), pa.binary())], ["doc_id", "ids"])
+        for ids, texts in _columns(batches):
+            yield pa.RecordBatch.from_arrays([ids, pa.array(e.encode_all(texts), pa.binary())], ["doc_id", "ids"])
 
     return map_arrow(docs.select("doc_id", "text"), run, f"doc_id {_type(docs)}, ids binary")
 
@@ -343,8 +342,8 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
     def run(batches):
         e = encoder(path)
         d = Decoder(e.merges)
-        for ids, texts in _texts(batches):
-            packed = list(map(e.encode, texts))
+        for ids, texts in _columns(batches):
+            packed = e.encode_all(texts)
             back = [d.decode(np.frombuffer(x, "<u4")) for x in packed]
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(packed, pa.binary()), pa.array(back, pa.string())], ["doc_id", "ids", "text"])

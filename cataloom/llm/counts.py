@@ -9,10 +9,13 @@ from __future__ import annotations
 
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .bpe import PIECES, UNIT, UNITS_KEPT, Merges, Transducer, _texts, _type, segments, slices
+from .bpe import PIECES, UNIT, Merges, Transducer, _columns, _type, segments, slices
+from .units import UnitTable
+from .words import bytes_of
 from .workers import map_arrow
 
 
@@ -30,21 +33,20 @@ def whole_tokens(path: str) -> frozenset[str]:
     return frozenset(proved)
 
 
-class Counter(dict):
-    """Number of tokens of the units met so far."""
+class Counter:
+    """Numbers of tokens of texts; a count stands as so many bytes in the table of units."""
 
     def __init__(self, path: str, whole: frozenset[str]):
-        super().__init__()
         self.merges, self.whole = Merges(path), whole
+        self.table = UnitTable(lambda unit: bytes(self.count_unit(unit)), lambda text: bytes(self.count(text)), True, 1)
+        if not all(x.startswith("<|") for x in self.merges.special):
+            raise ValueError("special strings must begin with <|")
 
-    def __missing__(self, unit: str) -> int:
+    def count_unit(self, unit: str) -> int:
         whole = self.whole
-        n = sum(1 if piece in whole else self._merged(piece.encode()) for piece in PIECES.findall(unit))
-        if len(unit) <= 256:
-            if len(self) >= UNITS_KEPT:
-                self.clear()
-            self[unit] = n
-        return n
+        if unit in whole:
+            return 1
+        return sum([1 if piece in whole else self._merged(piece.encode()) for piece in PIECES.findall(unit)])
 
     def _merged(self, piece: bytes) -> int:
         if len(piece) <= 2 * self.merges.lookahead:
@@ -58,8 +60,7 @@ class Counter(dict):
             if is_special:
                 n += 1
             else:
-                for piece in slices(part):
-                    n += sum(map(self.__getitem__, UNIT.findall(piece)))
+                n += sum(sum(map(self.count_unit, UNIT.findall(piece))) for piece in slices(part))
         return n
 
 
@@ -87,10 +88,9 @@ def count_tokens(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches):
         c = _counter(path, whole)
-        for ids, texts in _texts(batches):
-            sizes = [len(x.encode()) for x in texts]
+        for ids, texts in _columns(batches):
+            sizes = np.diff(bytes_of(texts)[1])
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(sizes, pa.int64()), pa.array(map(c.count, texts), pa.int64())],
-                ["doc_id", "n_bytes", "n_tokens"])
+                [ids, pa.array(sizes), pa.array(c.table.count(texts))], ["doc_id", "n_bytes", "n_tokens"])
 
     return map_arrow(docs.select("doc_id", "text"), run, f"doc_id {_type(docs)}, n_bytes long, n_tokens long")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .bpe import _texts, _type
+from .bpe import _columns, _type
 from .library import library_encoder
 from .workers import map_arrow
 
@@ -43,7 +43,7 @@ def pieces(docs: DataFrame, path: str, end_id: int, capacity: int = CAPACITY) ->
 
     def run(batches):
         e = library_encoder(path)
-        for doc_ids, texts in _texts(batches):
+        for doc_ids, texts in _columns(batches):
             rows = [
                 (k, i, start, n, ids[4 * start : 4 * (start + n)])
                 for k, ids in enumerate(x + end for x in e.encode_all(texts))

@@ -18,7 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .bpe import ROWS, _type
-from .library import library_encoder
+from .library import library_encoder, vocabulary_size
 from .workers import map_arrow
 
 BLOCK_IDS = 1 << 16
@@ -68,34 +68,39 @@ def write_tokens(docs: DataFrame, path: str, end_id: int, folder: str, block_ids
     row = docs.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 10 * parts)).first()
     cuts = np.array(sorted(set(row[0] or [])), np.int64)
     kind = _type(docs)
+    width = bits_for(vocabulary_size(path))
+    # whole bytes need no packing document by document
+    id_bytes = width // 8 if width % 8 == 0 else 4
 
     def encoded(batches: Iterator[pa.RecordBatch]):
-        e = library_encoder(path)
-        width, end = bits_for(e.size), end_id.to_bytes(4, "little")
+        e, end = library_encoder(path, id_bytes), end_id.to_bytes(id_bytes, "little")
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
-                ids = [
-                    np.frombuffer(x + end, "<u4") for x in e.encode_all([t or "" for t in part.column(1).to_pylist()])
-                ]
+                ids = [x + end for x in e.encode_all(part.column(1))]
+                sizes = [len(x) // id_bytes for x in ids]
+                if width % 8:
+                    ids = [pack(np.frombuffer(x, "<u4"), width) for x in ids]
                 doc_ids = part.column(0)
                 plain = doc_ids.cast(pa.int64()).fill_null(np.iinfo(np.int64).min).to_numpy()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.searchsorted(cuts, plain, "right"), pa.int32()), doc_ids,
-                     pa.array(map(len, ids), pa.int64()), pa.array([pack(x, width) for x in ids], pa.binary())],
+                     pa.array(sizes, pa.int64()), pa.array(ids, pa.binary())],
                     ["part", "doc_id", "n", "packed"])
 
     def blocks(batches: Iterator[pa.RecordBatch]):
-        width = bits_for(library_encoder(path).size)
         names = [f.split()[0] for f in BLOCKS.format(type="long").split(", ")]
         part, block, first, held = None, 0, 0, []
 
         def close():
             nonlocal block, first, held
-            ids = np.concatenate([unpack(p, width, n) for _, n, p in held])
-            values = (part, block, first, len(ids), width, pack(ids, width), [d for d, _, _ in held],
-                      [n for _, n, _ in held])
-            block, first, held = block + 1, first + len(ids), []
+            n_ids = sum(n for _, n, _ in held)
+            if width % 8:
+                payload = pack(np.concatenate([unpack(p, width, n) for _, n, p in held]), width)
+            else:
+                payload = b"".join([p for _, _, p in held])
+            values = (part, block, first, n_ids, width, payload, [d for d, _, _ in held], [n for _, n, _ in held])
+            block, first, held = block + 1, first + n_ids, []
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types, strict=True)], names)
 
         types = None

@@ -6,10 +6,11 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from cataloom.llm import bpe, counts, library, packing, token_files
+from cataloom.llm import bpe, counts, library, packing, token_files, units
 
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
 WORD = public_tokenizers.path("word_bpe_49k.json")
@@ -42,8 +43,9 @@ def random_texts(n, seed=1):
 
 def test_encoder_agrees_with_the_library(encoder):
     texts = random_texts(3000)
-    for text, ids in zip(texts, library_ids(BYTE, texts), strict=True):
-        assert encoder.encode(text) == packed(ids), text
+    together = encoder.encode_all(pa.array(texts))
+    for text, ids, found in zip(texts, library_ids(BYTE, texts), together, strict=True):
+        assert encoder.encode(text) == found == packed(ids), text
 
 
 def test_decoder_gives_the_text_back(encoder):
@@ -81,12 +83,15 @@ def test_pairs_fit_as_the_merge_list_says(encoder):
 
 
 def test_small_memories_give_the_same_ids(monkeypatch):
-    monkeypatch.setattr(bpe, "UNITS_KEPT", 5)
+    monkeypatch.setattr(units, "UNITS_KEPT", 5)
+    monkeypatch.setattr(units, "CHUNK", 30)
     monkeypatch.setattr(bpe, "STATES_KEPT", 9)
     monkeypatch.setattr(bpe, "PAIRS_KEPT", 3)
     monkeypatch.setattr(bpe, "SLICE", 7)
     small, texts = bpe.Encoder(BYTE), random_texts(300, 4)
-    assert [small.encode(t) for t in texts] == [packed(x) for x in library_ids(BYTE, texts)]
+    want = [packed(x) for x in library_ids(BYTE, texts)]
+    assert [small.encode(t) for t in texts] == want
+    assert small.encode_all(pa.array(texts)) == want
 
 
 def test_round_trip_of_odd_documents(odd, odd_rows, same_rows):
@@ -113,9 +118,11 @@ def test_whole_tokens_encode_alone():
 def test_library_encoder_by_units_equals_whole_texts():
     for path in (BYTE, WORD):
         e, texts = library.LibraryEncoder(path), random_texts(2000, 6)
-        assert e.pattern is not None
-        assert e.encode_all(texts) == [packed(x) for x in library_ids(path, texts)]
-        assert e.encode_all([]) == []
+        want = [packed(x) for x in library_ids(path, texts)]
+        assert e.cut
+        assert e.encode_all(pa.array([*texts, None])) == [*want, b""]
+        assert [e.encode(x) for x in texts] == want
+        assert e.encode_all(pa.array([], pa.string())) == e.encode_all(pa.array([None], pa.string()))[1:] == []
 
 
 @pytest.mark.parametrize("size", [2, 3, 256, 257, 49_408, 50_257, 70_000, 1 << 20])
@@ -130,7 +137,9 @@ def test_bit_packing(size):
         assert (token_files.unpack(payload, width, n, first) == ids[first : first + n]).all()
 
 
-def test_token_files(spark, odd, odd_rows, tmp_path):
+@pytest.mark.parametrize("width", [16, 19])
+def test_token_files(spark, odd, odd_rows, tmp_path, monkeypatch, width):
+    monkeypatch.setattr(token_files, "bits_for", lambda size: width)
     folder = str(tmp_path / "tokens")
     token_files.write_tokens(odd, WORD, 1, folder, block_ids=300)
     got = sorted(token_files.read_tokens(spark, folder).collect(), key=lambda r: r.start)
