@@ -12,7 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions.columns import flag
+from ..plans import publish
 from .operator_queries import FORMAT_LINES, pick, pick_sql
 from .registry import read
 
@@ -40,6 +42,28 @@ def text(prefix: str, column: str) -> Column:
     return F.concat(F.lit(prefix), c(column).cast("string"))
 
 
+def filled(rows: DataFrame, table: str, columns: list[str], key: str) -> DataFrame:
+    """Rows with a value made from the key in every listed column that they lack."""
+    made = {
+        "string": F.concat(F.lit("some text "), c(key).cast("string")), "int": F.pmod(c(key), F.lit(97)).cast("int"),
+        "bigint": c(key) + 7, "double": c(key) / 4.0, "date": F.date_add(F.lit("2000-01-01").cast("date"), F.pmod(c(key), F.lit(1000)).cast("int")),
+    }
+    made["timestamp_ntz"] = made["date"].cast("timestamp_ntz")
+    kinds = {f.name: f.dataType.simpleString() for f in schemas.empty_table(rows.sparkSession, table).schema}
+    return rows.select("*", *[made[kinds[n]].alias(n) for n in columns if n not in rows.columns])
+
+
+def filled_sql(table: str, columns: list[str], have: str, key: str) -> str:
+    """The same values as select items; ``have`` names the columns the rows have."""
+    day = f"CAST(DATE '2000-01-01' + CAST({key} % 1000 AS INTEGER) AS DATE)"
+    made = {
+        "string": f"'some text ' || {key}", "int": f"CAST({key} % 97 AS INTEGER)", "bigint": f"{key} + 7", "double": f"{key} / 4.0",
+        "date": day, "timestamp_ntz": f"CAST({day} AS TIMESTAMP)",
+    }
+    kinds = dict(x.split() for x in schemas.TABLES[table].split(", "))
+    return "".join(f", {made[kinds[n]]} AS {n}" for n in columns if n not in have.split())
+
+
 def _movie(t: Callable[[str], DataFrame]) -> DataFrame:
     status, priority = c("o_orderstatus"), c("o_orderpriority")
     documentary = priority == "1-URGENT"
@@ -70,6 +94,10 @@ def _movie(t: Callable[[str], DataFrame]) -> DataFrame:
     )
 
 
+_MOVIE_HAS = """ID_MOVIE TITLE ORIGINAL_TITLE ORIGINAL_LANGUAGE OVERVIEW TAGLINE STATUS GENRES ID_IMDB ID_WIKIDATA ADULT
+ID_COLLECTION VIDEO DAT_RELEASE RELEASE_YEAR RELEASE_MONTH RELEASE_DAY POPULARITY VOTE_AVERAGE VOTE_COUNT RUNTIME IS_MOVIE
+IS_DOCUMENTARY IS_SHORT_FILM WIKIPEDIA_FORMAT_LINE IS_COLOR IS_BLACK_AND_WHITE IS_SILENT IS_3D IS_VALID_FORMAT COLOR_TECHNOLOGY
+FILM_TECHNOLOGY SOUND_TECHNOLOGY SOUND_SYSTEM ASPECT_RATIO FILM_FORMAT NUM_AUDIO_TRACKS DELETED TIM_UPDATED"""
 MOVIE_SQL = f"""
 SELECT o_orderkey AS ID_MOVIE, 'Title ' || o_orderkey AS TITLE,
   CASE WHEN o_orderstatus = 'F' THEN 'Original ' ELSE 'Title ' END || o_orderkey AS ORIGINAL_TITLE,
@@ -83,7 +111,16 @@ SELECT o_orderkey AS ID_MOVIE, 'Title ' || o_orderkey AS TITLE,
   CAST(floor(o_totalprice / 5000) AS INTEGER) AS RUNTIME,
   CASE WHEN o_orderpriority = '1-URGENT' THEN 0 ELSE 1 END AS IS_MOVIE,
   CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS IS_DOCUMENTARY,
-  CASE WHEN o_orderpriority = '2-HIGH' THEN NULL ELSE {pick_sql(FORMAT_LINES, "o_custkey")} END AS WIKIPEDIA_FORMAT_LINE
+  CASE WHEN o_orderpriority = '2-HIGH' THEN NULL ELSE {pick_sql(FORMAT_LINES, "o_custkey")} END AS WIKIPEDIA_FORMAT_LINE,
+  '' AS TAGLINE, o_orderstatus AS STATUS, 0 AS VIDEO, CAST(year(o_orderdate) AS INTEGER) AS RELEASE_YEAR,
+  CAST(month(o_orderdate) AS INTEGER) AS RELEASE_MONTH, CAST(day(o_orderdate) AS INTEGER) AS RELEASE_DAY,
+  CAST(NULL AS DOUBLE) AS VOTE_AVERAGE, CAST(NULL AS INTEGER) AS VOTE_COUNT,
+  CASE WHEN floor(o_totalprice / 5000) BETWEEN 1 AND 58 THEN 1 ELSE 0 END AS IS_SHORT_FILM,
+  CAST(NULL AS INTEGER) AS IS_COLOR, CAST(NULL AS INTEGER) AS IS_BLACK_AND_WHITE, CAST(NULL AS INTEGER) AS IS_SILENT,
+  CAST(NULL AS INTEGER) AS IS_3D, CAST(NULL AS VARCHAR) AS COLOR_TECHNOLOGY, CAST(NULL AS VARCHAR) AS FILM_TECHNOLOGY,
+  CAST(NULL AS VARCHAR) AS SOUND_TECHNOLOGY, CAST(NULL AS VARCHAR) AS SOUND_SYSTEM, CAST(NULL AS VARCHAR) AS ASPECT_RATIO,
+  CAST(NULL AS VARCHAR) AS FILM_FORMAT, 0 AS DELETED, CAST(NULL AS TIMESTAMP) AS TIM_UPDATED
+  {filled_sql("movie", publish.MOVIE_COLUMNS, _MOVIE_HAS, "o_orderkey")}
 FROM orders"""
 
 
@@ -99,12 +136,13 @@ def _serie(t: Callable[[str], DataFrame]) -> DataFrame:
     )
 
 
-SERIE_SQL = """
+SERIE_SQL = f"""
 SELECT c_custkey AS ID_SERIE, 'Serie ' || c_custkey AS TITLE,
   CASE WHEN c_acctbal < 0 THEN '' ELSE 'tt' || c_custkey END AS ID_IMDB,
   CASE WHEN c_nationkey < 2 THEN '' ELSE 'Q' || c_custkey END AS ID_WIKIDATA,
   CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END AS ADULT, c_acctbal AS POPULARITY,
-  CASE c_mktsegment WHEN 'MACHINERY' THEN 'Documentary' WHEN 'HOUSEHOLD' THEN NULL ELSE 'Scripted' END AS SERIE_TYPE
+  CASE c_mktsegment WHEN 'MACHINERY' THEN 'Documentary' WHEN 'HOUSEHOLD' THEN NULL ELSE 'Scripted' END AS SERIE_TYPE,
+  0 AS DELETED {filled_sql("serie", publish.SERIE_COLUMNS, "ID_SERIE TITLE ID_IMDB ID_WIKIDATA ADULT POPULARITY SERIE_TYPE DELETED", "c_custkey")}
 FROM customer"""
 
 
@@ -121,11 +159,12 @@ def _person(t: Callable[[str], DataFrame]) -> DataFrame:
     )
 
 
-PERSON_SQL = """
+PERSON_SQL = f"""
 SELECT c_custkey AS ID_PERSON, CASE WHEN c_acctbal < -900 THEN coalesce(p_name, c_name) ELSE c_name END AS NAME,
   CASE WHEN c_mktsegment = 'FURNITURE' THEN '' ELSE 'nm' || c_custkey END AS ID_IMDB,
   CASE WHEN c_nationkey < 3 THEN '' ELSE 'Q' || c_custkey END AS ID_WIKIDATA,
-  CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END AS ADULT, c_acctbal AS POPULARITY
+  CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END AS ADULT, c_acctbal AS POPULARITY, 0 AS DELETED
+  {filled_sql("person", publish.PERSON_COLUMNS, "ID_PERSON NAME ID_IMDB ID_WIKIDATA ADULT POPULARITY DELETED", "c_custkey")}
 FROM customer LEFT JOIN part ON c_custkey = p_partkey"""
 
 
@@ -185,9 +224,9 @@ def _builders(spark: SparkSession, sf: str) -> dict[str, Callable[[], DataFrame]
 
     none = F.lit(None)
     return {
-        "movie": lambda: _movie(t),
-        "serie": lambda: _serie(t),
-        "person": lambda: _person(t),
+        "movie": lambda: filled(_movie(t), "movie", publish.MOVIE_COLUMNS, "ID_MOVIE"),
+        "serie": lambda: filled(_serie(t), "serie", publish.SERIE_COLUMNS, "ID_SERIE"),
+        "person": lambda: filled(_person(t), "person", publish.PERSON_COLUMNS, "ID_PERSON"),
         "keyword": lambda: t("part").select(
             c("p_partkey").alias("ID_KEYWORD"), c("p_name").alias("NAME"),
             none.cast("bigint").alias("MOVIE_COUNT"), none.cast("bigint").alias("SERIE_COUNT"),
@@ -198,15 +237,15 @@ def _builders(spark: SparkSession, sf: str) -> dict[str, Callable[[], DataFrame]
         "keyword_lang": lambda: t("part").filter(c("p_type") != "LARGE").select(
             c("p_partkey").alias("ID_KEYWORD"), F.lit("fr").alias("LANG"), F.concat(F.lit("mot "), "p_name").alias("NAME")
         ),
-        "company": lambda: t("supplier").select(
+        "company": lambda: filled(t("supplier").select(
             c("s_suppkey").alias("ID_COMPANY"), c("s_name").alias("NAME"), F.lit("").alias("HOMEPAGE_URL"),
             none.cast("bigint").alias("MOVIE_COUNT"), none.cast("bigint").alias("SERIE_COUNT"),
             none.cast("int").alias("USED_FOR_SIMILARITY"), F.lit(0).alias("DELETED"),
-        ),
-        "network": lambda: t("nation").select(
+        ), "company", publish.COMPANY_COLUMNS, "ID_COMPANY"),
+        "network": lambda: filled(t("nation").select(
             c("n_nationkey").cast("bigint").alias("ID_NETWORK"), c("n_name").alias("NAME"),
             none.cast("bigint").alias("SERIE_COUNT"), F.lit(0).alias("DELETED"),
-        ),
+        ), "network", publish.NETWORK_COLUMNS, "ID_NETWORK"),
         "movie_keyword": lambda: _link(t, "l_orderkey", "ID_MOVIE", "l_partkey", "ID_KEYWORD"),
         "serie_keyword": lambda: _link(t, "o_custkey", "ID_SERIE", "l_partkey", "ID_KEYWORD"),
         "movie_company": lambda: _link(t, "l_orderkey", "ID_MOVIE", "l_suppkey", "ID_COMPANY"),
@@ -311,8 +350,11 @@ class Catalogue(dict):
 SQL = {
     "movie": MOVIE_SQL, "serie": SERIE_SQL, "person": PERSON_SQL,
     "keyword": "SELECT p_partkey AS ID_KEYWORD, p_name AS NAME, CASE WHEN p_size > 20 THEN 1 ELSE 0 END AS USE_FOR_TAGGING FROM part",
-    "company": "SELECT s_suppkey AS ID_COMPANY, s_name AS NAME FROM supplier",
-    "network": "SELECT CAST(n_nationkey AS BIGINT) AS ID_NETWORK, n_name AS NAME FROM nation",
+    "company": "SELECT s_suppkey AS ID_COMPANY, s_name AS NAME, '' AS HOMEPAGE_URL, 0 AS DELETED"
+    + filled_sql("company", publish.COMPANY_COLUMNS, "ID_COMPANY NAME HOMEPAGE_URL MOVIE_COUNT SERIE_COUNT DELETED", "s_suppkey")
+    + " FROM supplier",
+    "network": "SELECT CAST(n_nationkey AS BIGINT) AS ID_NETWORK, n_name AS NAME, 0 AS DELETED"
+    + filled_sql("network", publish.NETWORK_COLUMNS, "ID_NETWORK NAME SERIE_COUNT DELETED", "n_nationkey") + " FROM nation",
     "movie_keyword": _link_sql("l_orderkey", "ID_MOVIE", "l_partkey", "ID_KEYWORD"),
     "serie_keyword": _link_sql("o_custkey", "ID_SERIE", "l_partkey", "ID_KEYWORD"),
     "movie_company": _link_sql("l_orderkey", "ID_MOVIE", "l_suppkey", "ID_COMPANY"),
@@ -336,10 +378,11 @@ FROM customer WHERE c_mktsegment <> 'MACHINERY'""",
   CASE WHEN o_orderstatus = 'F' THEN 'Titre ' ELSE 'Title ' END || o_orderkey AS TITLE FROM orders WHERE o_orderpriority <> '3-MEDIUM'""",
     "serie_lang": "SELECT c_custkey AS ID_SERIE, 'fr' AS LANG, 'Série ' || c_custkey AS TITLE FROM customer WHERE c_nationkey > 4",
     "wikidata_movie": """SELECT 'Q' || p_partkey AS ID_WIKIDATA, p_name AS TITLE, '|' || p_name || '|Title ' || p_partkey || '|' AS ALIASES,
-  CASE WHEN p_size > 45 THEN p_partkey END AS ID_CRITERION FROM part""",
-    "wikidata_serie": "SELECT 'Q' || p_partkey AS ID_WIKIDATA, p_name AS TITLE, p_brand AS ALIASES FROM part",
+  CASE WHEN p_size > 45 THEN p_partkey END AS ID_CRITERION, CASE WHEN p_size > 48 THEN p_partkey END AS ID_CRITERION_SPINE,
+  'k' AS PLEX_MEDIA_KEY, 'Q11424' AS INSTANCE_OF FROM part""",
+    "wikidata_serie": "SELECT 'Q' || p_partkey AS ID_WIKIDATA, p_name AS TITLE, p_brand AS ALIASES, 'k' AS PLEX_MEDIA_KEY, 'Q5398426' AS INSTANCE_OF FROM part",
     "wikidata_person": """SELECT 'Q' || p_partkey AS ID_WIKIDATA, p_name AS NAME,
-  CASE WHEN p_size > 10 THEN '|' || p_brand || '|' END AS ALIASES FROM part""",
+  CASE WHEN p_size > 10 THEN '|' || p_brand || '|' END AS ALIASES, 'Q5' AS INSTANCE_OF FROM part""",
     "person_movie": _credits_sql("l_orderkey", "ID_MOVIE"),
     "person_serie": _credits_sql("o_custkey", "ID_SERIE"),
     "page_section": f"""SELECT 'Q' || conv_id AS ID_WIKIDATA, turn AS DISPLAY_ORDER, {pick_sql(SECTIONS, "length(text)")} AS TITLE,

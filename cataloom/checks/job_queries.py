@@ -187,60 +187,57 @@ routed AS (SELECT ID_WIKIDATA, {", ".join(
     for k in V.SECTIONS_EXACT.values())},
   '|' || string_agg(TITLE || '|', '' ORDER BY DISPLAY_ORDER) FILTER (k IS NULL OR (NOT exact AND rn > 1)) AS OTHER_SECTIONS
   FROM f GROUP BY ID_WIKIDATA)"""
-_MOVIE_OUT = ["ID_MOVIE", "MOVIE_TITLE", "DAT_RELEASE", "POPULARITY", "IMDB_RATING", "IMDB_RATING_ADJUSTED",
-              "MOVIE_TITLE_FR", "WIKIDATA_TITLE", "ALIASES", "ID_CRITERION",
-              *V.SECTIONS_EXACT.values(), "OTHER_SECTIONS"]
+
+
+def _published(columns: list[str], table: str) -> str:
+    return ", ".join(f"{table}.{n}" for n in columns)
 
 
 @query("g5_published_movies", with_tables("movie pub_movie rating movie_lang wikidata_movie page_section", _ROUTED + f"""
-SELECT p.ID_MOVIE, p.TITLE AS MOVIE_TITLE, p.DAT_RELEASE, p.POPULARITY, averageRating AS IMDB_RATING,
+SELECT {_published(publish.MOVIE_COLUMNS, "p")}, p.TITLE AS MOVIE_TITLE, averageRating AS IMDB_RATING,
   CASE WHEN IS_DOCUMENTARY = 1 THEN averageRating - 1.5 ELSE averageRating END AS IMDB_RATING_ADJUSTED,
   fr.TITLE AS MOVIE_TITLE_FR, w.TITLE AS WIKIDATA_TITLE, w.ALIASES, w.ID_CRITERION,
+  w.ID_CRITERION_SPINE, w.PLEX_MEDIA_KEY, w.INSTANCE_OF,
   {", ".join(f'"{k}"' for k in V.SECTIONS_EXACT.values())}, OTHER_SECTIONS
 FROM pub_movie p LEFT JOIN rating ON tconst = ID_IMDB LEFT JOIN movie_lang fr ON p.ID_MOVIE = fr.ID_MOVIE
   LEFT JOIN wikidata_movie w ON p.ID_WIKIDATA = w.ID_WIKIDATA LEFT JOIN routed r ON p.ID_WIKIDATA = r.ID_WIKIDATA"""))
 def published_movies_query(spark, sf):
-    return publish.publish_movies(Catalogue(spark, sf)).select(*_MOVIE_OUT)
+    return publish.publish_movies(Catalogue(spark, sf))
 
 
-@query("g6_published_series", with_tables("serie pub_serie rating serie_lang wikidata_serie", """
-SELECT p.ID_SERIE, p.TITLE AS SERIE_TITLE, p.SERIE_TYPE, averageRating AS IMDB_RATING,
+@query("g6_published_series", with_tables("serie pub_serie rating serie_lang wikidata_serie", f"""
+SELECT {_published(publish.SERIE_COLUMNS, "p")}, p.TITLE AS SERIE_TITLE, averageRating AS IMDB_RATING,
   CASE WHEN SERIE_TYPE = 'Documentary' THEN averageRating - 1.5 WHEN SERIE_TYPE <> 'Documentary' THEN averageRating END AS IMDB_RATING_ADJUSTED,
-  fr.TITLE AS SERIE_TITLE_FR, w.TITLE AS WIKIDATA_TITLE, w.ALIASES
+  fr.TITLE AS SERIE_TITLE_FR, w.TITLE AS WIKIDATA_TITLE, w.ALIASES, w.PLEX_MEDIA_KEY, w.INSTANCE_OF
 FROM pub_serie p LEFT JOIN rating ON tconst = ID_IMDB LEFT JOIN serie_lang fr ON p.ID_SERIE = fr.ID_SERIE
   LEFT JOIN wikidata_serie w ON p.ID_WIKIDATA = w.ID_WIKIDATA"""))
 def _(spark, sf):
-    return publish.publish_series(Catalogue(spark, sf)).select(
-        "ID_SERIE", "SERIE_TITLE", "SERIE_TYPE", "IMDB_RATING", "IMDB_RATING_ADJUSTED", "SERIE_TITLE_FR",
-        "WIKIDATA_TITLE", "ALIASES",
-    )
+    return publish.publish_series(Catalogue(spark, sf))
 
 
-@query("g7_published_persons", with_tables("person pub_person wikidata_person", """
-SELECT p.ID_PERSON, p.NAME AS PERSON_NAME, p.POPULARITY, w.NAME AS WIKIDATA_NAME, w.ALIASES
+@query("g7_published_persons", with_tables("person pub_person wikidata_person", f"""
+SELECT {_published(publish.PERSON_COLUMNS, "p")}, p.NAME AS PERSON_NAME, w.NAME AS WIKIDATA_NAME, w.ALIASES, w.INSTANCE_OF
 FROM pub_person p LEFT JOIN wikidata_person w ON p.ID_WIKIDATA = w.ID_WIKIDATA"""))
 def _(spark, sf):
-    return publish.publish_persons(Catalogue(spark, sf)).select(
-        "ID_PERSON", "PERSON_NAME", "POPULARITY", "WIKIDATA_NAME", "ALIASES"
-    )
+    return publish.publish_persons(Catalogue(spark, sf))
 
 
 @query("g8_published_companies", with_tables(
     "movie serie pub_movie pub_serie company movie_company serie_company", f"""
 , m AS ({_count_sql("MOVIE", "company", "ID_COMPANY")}), s AS ({_count_sql("SERIE", "company", "ID_COMPANY")})
-SELECT ID_COMPANY, d.NAME AS COMPANY_NAME, m.n AS MOVIE_COUNT, s.n AS SERIE_COUNT
+SELECT {_published([n for n in publish.COMPANY_COLUMNS if not n.endswith("_COUNT")], "d")}, d.NAME AS COMPANY_NAME,
+  m.n AS MOVIE_COUNT, s.n AS SERIE_COUNT
 FROM company d LEFT JOIN m ON ID_COMPANY = m.rep LEFT JOIN s ON ID_COMPANY = s.rep WHERE m.n > 0 OR s.n > 0"""))
 def _(spark, sf):
-    rows = publish.publish_companies(publish.count_companies(full(spark, sf)))
-    return rows.select("ID_COMPANY", "COMPANY_NAME", "MOVIE_COUNT", "SERIE_COUNT")
+    return publish.publish_companies(publish.count_companies(full(spark, sf)))
 
 
 @query("g9_published_networks", with_tables("serie pub_serie network serie_network", f"""
 , s AS ({_count_sql("SERIE", "network", "ID_NETWORK")})
-SELECT ID_NETWORK, d.NAME AS NETWORK_NAME, s.n AS SERIE_COUNT FROM network d JOIN s ON ID_NETWORK = s.rep"""))
+SELECT {_published([n for n in publish.NETWORK_COLUMNS if n != "SERIE_COUNT"], "d")}, d.NAME AS NETWORK_NAME,
+  s.n AS SERIE_COUNT FROM network d JOIN s ON ID_NETWORK = s.rep"""))
 def _(spark, sf):
-    rows = publish.publish_networks(publish.count_networks(full(spark, sf)))
-    return rows.select("ID_NETWORK", "NETWORK_NAME", "SERIE_COUNT")
+    return publish.publish_networks(publish.count_networks(full(spark, sf)))
 
 
 @query("g10_published_movie_credits", with_tables("movie person pub_movie pub_person person_movie", """

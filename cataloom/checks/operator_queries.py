@@ -47,12 +47,23 @@ def _(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("io2_parse_payloads", """
-SELECT event_id, k FROM (
-  SELECT event_id, CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS INTEGER) AS k FROM events)
-WHERE k IS NOT NULL""")
-def _(spark, sf):
-    rows = payloads.parse_payloads(read(spark, sf, "events"), "props", "k int, status_code int")
-    return rows.select("event_id", "payload.k")
+SELECT event_id, k, id FROM (
+  SELECT event_id, CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS INTEGER) AS k, CAST(NULL AS BIGINT) AS id FROM events)
+WHERE k IS NOT NULL
+UNION ALL SELECT event_id, NULL, event_id FROM events WHERE event_id % 3 = 0 AND event_id % 5 > 0""")
+def _(spark, sf):
+    events = read(spark, sf, "events")
+    rows = payloads.parse_payloads(events, "props", "k int, status_code int")
+    # every third text has an id, one in five is an error answer, the others are cut off, without id or no JSON
+    number = c("event_id").cast("string")
+    body = F.concat(F.lit('{"id": '), number, F.lit(', "status_code": '), F.when(c("event_id") % 5 == 0, "34").otherwise("1"), F.lit("}"))
+    body = (
+        F.when(c("event_id") % 3 == 0, body).when(c("event_id") % 6 == 1, F.concat(F.lit("garbage{"), number))
+        .when(c("event_id") % 6 == 2, F.lit('{"status_code": 1}')).when(c("event_id") % 6 == 4, F.lit("")).otherwise(F.lit(None))
+    )
+    named = payloads.parse_payloads(events.select("event_id", body.alias("body")), "body", "id bigint, status_code int")
+    return rows.select("event_id", "payload.k", F.lit(None).cast("bigint").alias("id")).unionByName(
+        named.select("event_id", F.lit(None).cast("int").alias("k"), "payload.id"))
 
 
 @query("io3_explode_pages", """

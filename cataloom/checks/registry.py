@@ -10,7 +10,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.changes import Audit
-from ..session import shared_folder
+from ..session import shared_folder, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +30,7 @@ def query(name: str, sql: str | None = None):
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    tune(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -64,33 +65,37 @@ def _merge(
     unknown = [c for c in supplied if c not in target.columns]
     if unknown:
         raise ValueError(f"columns missing in the target: {unknown}")
-    old = target.withColumn("_old", F.lit(True))
-    new = changes.select(
+    # a null key names no row: such changes are refused
+    new = changes.dropna(subset=keys).select(
         *keys, *[F.col(c).alias(_CHANGE + c) for c in supplied], F.lit(True).alias("_new")
     )
-    rows = old.join(new, keys, "full_outer")
-    is_new, is_insert = F.col("_new").isNotNull(), F.col("_old").isNull()
     stamps = audit.values() if audit else {}
 
-    def value(name: str) -> Column:
-        before = F.col(name)
+    def value(name: str, insert: bool) -> Column:
+        kind = _field(target, name)
+        before = F.lit(None).cast(kind) if insert else F.col(name)
+        if name in keys:
+            return F.col(name).cast(kind)
+        write = F.lit(True) if insert else F.col("_new").isNotNull()
         if name in supplied:
-            after = F.col(_CHANGE + name).cast(_field(target, name))
-            write = is_new
+            after = F.col(_CHANGE + name).cast(kind)
             if name in optional:
                 is_text = isinstance(_field(changes, name), T.StringType)
                 write = write & (present(after) if is_text else after.isNotNull())
-            if name in keep_first:
-                write = write & is_insert
-            return F.when(write, after).otherwise(before)
-        if name in stamps:
-            write = is_new if name == "TIM_UPDATED" else is_new & is_insert
-            return F.when(write, stamps[name].cast(_field(target, name))).otherwise(before)
-        return before
+            if name in keep_first and not insert:
+                return before
+        elif name == "TIM_UPDATED" and name in stamps or insert and name in stamps:
+            after = stamps[name].cast(kind)
+        else:
+            return before
+        return F.when(write, after).otherwise(before)
 
-    return rows.select(
-        *[F.col(c) if c in keys else value(c).alias(c) for c in target.columns], "_new"
-    )
+    def rows(found: DataFrame, insert: bool) -> DataFrame:
+        return found.select(*[value(c, insert).alias(c) for c in target.columns], "_new")
+
+    # few changes can be broadcast here, so the wide target need not move
+    known = rows(target.join(new, keys, "left"), False)
+    return known.unionByName(rows(new.join(target.select(*keys), keys, "left_anti"), True))
 
 
 def upsert(
@@ -105,7 +110,9 @@ def upsert(
 
     A supplied null overwrites.  Columns in ``optional`` are written only when
     their new value is non-empty, columns in ``keep_first`` only on insert.
-    Both inputs hold each key once.  One shuffle per side, on the key.
+    Both inputs hold each key once; changes whose key holds a null are refused.  Known keys
+    are set by a left join, new ones found by an anti join on the key columns alone, so a small
+    batch can be broadcast and leaves the target where it is.
     """
     return _merge(target, changes, keys, audit, optional, keep_first).drop("_new")
 
@@ -242,6 +249,27 @@ def stamp(
     return rows.select(*[value(c).alias(c) if c in columns else F.col(c) for c in df.columns])
 
 
+def stamp_all(
+    df: DataFrame, done: Mapping[str, Sequence[DataFrame]], key: str, now: datetime
+) -> DataFrame:
+    """Write a completion time into each column of ``done`` on the rows whose key was processed there.
+
+    All marks are gathered per key first, so the rows are joined once.
+    """
+    marks = [ids.select(key, F.lit(name).alias("_what")) for name, found in done.items() for ids in found]
+    if not marks:
+        return df
+    marked = reduce(DataFrame.unionByName, marks).groupBy(key).agg(F.collect_set("_what").alias("_what"))
+    time = F.lit(now.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+
+    def value(name: str) -> Column:
+        hit = F.array_contains("_what", name)
+        return F.when(hit, time.cast(_field(df, name))).otherwise(F.col(name)).alias(name)
+
+    rows = df.join(marked, key, "left")
+    return rows.select(*[value(c) if c in done else F.col(c) for c in df.columns])
+
+
 def reset_slice(df: DataFrame, condition: Column) -> DataFrame:
     """Drop one slice, e.g. a language.  Rows with an unknown condition stay."""
     return df.filter(~F.coalesce(condition, F.lit(False)))
@@ -276,7 +304,10 @@ def assign_ids(
 ) -> DataFrame:
     """Dimension grown by the values it lacks; new ids follow the largest known id."""
     keys = list(natural_key)
-    fresh = values.select(*keys).distinct().join(dim.select(*keys), keys, "left_anti")
+    # a key that holds a null is a key like others here
+    known = dim.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    fresh = values.select(*keys).distinct().join(known, same, "left_anti")
     fresh = number_values(fresh, keys, "_n")
     top = dim.agg(F.coalesce(F.max(id_column), F.lit(0)).cast("long").alias("_top"))
     fresh = fresh.withColumn(id_column, F.col("_n") + top.scalar())

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from ..functions import values as V
 from ..functions.columns import first_present, flag, literal_map, present, trim_spaces
 
-# Spark cuts ranked groups before the shuffle up to this rank
-GROUP_LIMIT = 1000
-SALTS = 64
 SLICE = 1_000_000
 
 
@@ -174,14 +171,9 @@ def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], latest: b
 def top_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], n: int, rank: str = "rank") -> DataFrame:
     """First ``n`` rows per key with their rank.
 
-    Up to 1000 Spark keeps only the best rows of each key before the shuffle.
-    Beyond that the same cut is made on salted parts of each key first.
+    Spark keeps only the best rows of each key before the shuffle, up to the rank in
+    ``spark.sql.optimizer.windowGroupLimitThreshold``; ``session.SETTINGS`` raises it to 4000.
     """
-    if n > GROUP_LIMIT:
-        salt = F.pmod(F.xxhash64(*df.columns), F.lit(SALTS))
-        part = Window.partitionBy(*keys, "_salt").orderBy(*order)
-        df = df.withColumn("_salt", salt).withColumn("_rank", F.row_number().over(part))
-        df = df.filter(F.col("_rank") <= n).drop("_salt", "_rank")
     whole = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(whole)).filter(F.col(rank) <= n)
 

@@ -197,8 +197,11 @@ def department_credits(
     rows = rows.groupBy(*group, "NAME").agg(first)
     rows = rows.withColumn("_chars", F.length("NAME"))
     rows = rows.filter(F.col("_chars") + 2 <= by_rule(lambda r: r.max_chars))
-    needed = max(r.cap + r.max_chars // 2 + 1 for r in rules)
-    rows = top_n(rows, [*group, "_chars"], ["_row", "NAME"], needed, "_rank")
+    def needed(r: DepartmentRule) -> int:
+        return r.cap + r.max_chars // 2 + 1
+
+    rows = top_n(rows, [*group, "_chars"], ["_row", "NAME"], max(map(needed, rules)), "_rank")
+    rows = rows.filter(F.col("_rank") <= by_rule(needed))
 
     item = F.struct("_row", "NAME")
     walk = rows.groupBy(*group).agg(F.array_sort(F.collect_list(item)).alias("_items"))

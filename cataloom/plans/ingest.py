@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import values as V
@@ -20,7 +20,7 @@ from ..functions.columns import (
     trim_spaces,
 )
 from ..operators.changes import (
-    Audit, cascade_delete, replace_children, stamp, sync_children, upsert,
+    Audit, cascade_delete, replace_children, stamp, stamp_all, sync_children, upsert,
 )
 from ..operators.relate import number_items
 from ..sources.payloads import explode_pages
@@ -91,28 +91,46 @@ def _credit(x: Column, kind: str, order: Column) -> Column:
     )
 
 
-_NO_CREDITS = (
-    "cast(array() as array<struct<ID_CREDIT:string,ID_PERSON:bigint,CREDIT_TYPE:string,"
-    "CAST_CHARACTER:string,CREW_DEPARTMENT:string,CREW_JOB:string,DISPLAY_ORDER:int>>)"
+_CREDIT = (
+    "array<struct<part:int,place:int,step:int,ID_CREDIT:string,ID_PERSON:bigint,CREDIT_TYPE:string,"
+    "CAST_CHARACTER:string,CREW_DEPARTMENT:string,CREW_JOB:string,DISPLAY_ORDER:int>>"
 )
 
 
-def _ranked(array: Column, kind: str, shift=None) -> Column:
-    """Credits of one payload array, each at the first place of its person."""
-    def one(x: Column, ids: Column) -> Column:
-        order = F.array_position(ids, x["id"]).cast("int")
-        return _credit(x, kind, order if shift is None else order + shift(x))
+def _written(part: int, place: Column, step: int, credit: Column) -> Column:
+    """A credit with the position at which it is written."""
+    names = ("ID_CREDIT", "ID_PERSON", "CREDIT_TYPE", "CAST_CHARACTER", "CREW_DEPARTMENT", "CREW_JOB", "DISPLAY_ORDER")
+    return F.struct(
+        F.lit(part).alias("part"), place.cast("int").alias("place"), F.lit(step).alias("step"),
+        *[credit[n].alias(n) for n in names],
+    )
+
+
+def _entries(array: Column, kind: str) -> Column:
+    """Credits of one payload array at their own places."""
+    part = 0 if kind == "cast" else 1
+    rows = F.transform(array, lambda x, i: _written(part, i, 1, _credit(x, kind, i + 1)))
+    return F.coalesce(rows, F.array()).cast(_CREDIT)
+
+
+def _first_places(rows: DataFrame, key: str) -> DataFrame:
+    """Every entry of a person in one list of a payload takes the person's first place in it."""
+    first = F.min("DISPLAY_ORDER").over(Window.partitionBy(key, "part", "ID_PERSON"))
+    return rows.withColumn("DISPLAY_ORDER", first)
+
 
-    # the outer array binds the ids once per payload
-    ids = F.array(F.transform(array, lambda x: x["id"]))
-    rows = F.transform(ids, lambda known: F.transform(array, lambda x: one(x, known)))
-    return F.coalesce(F.element_at(rows, 1), F.expr(_NO_CREDITS))
+def _last_written(rows: DataFrame, key: str) -> DataFrame:
+    """One row per credit: the one written last.  A credit without id is refused."""
+    rest = [n for n in rows.columns if n not in ("ID_CREDIT", "part", "place", "step", key)]
+    last = F.max(F.struct(key, "part", "place", "step", *rest)).alias("_last")
+    picked = rows.filter("ID_CREDIT is not null").groupBy("ID_CREDIT").agg(last)
+    return picked.select("ID_CREDIT", f"_last.{key}", *[f"_last.{n}" for n in rest])
 
 
 def payload_credits(payloads: DataFrame, key: str) -> DataFrame:
-    """Cast and crew rows of title payloads, ordered inside each payload."""
-    rows = F.concat(_ranked(c("credits.cast"), "cast"), _ranked(c("credits.crew"), "crew"))
-    return payloads.select(c("id").alias(key), F.inline(rows)).dropDuplicates(["ID_CREDIT"])
+    """Cast and crew rows of title payloads, ordered inside each payload; the last entry of a credit counts."""
+    rows = F.concat(_entries(c("credits.cast"), "cast"), _entries(c("credits.crew"), "crew"))
+    return _last_written(_first_places(payloads.select(c("id").alias(key), F.inline(rows)), key), key)
 
 
 def serie_credits(payloads: DataFrame) -> DataFrame:
@@ -120,10 +138,12 @@ def serie_credits(payloads: DataFrame) -> DataFrame:
 
     A creator in the crew gets a Creator row at the person's place and the other
     credits of that person move one place down.  Creators found nowhere in the
-    credits follow after the last credit.
+    credits follow after the last credit.  Cast is written first, then crew, a
+    Creator row just before the person's first entry; the last entry of a credit counts.
     """
+    key = "ID_SERIE"
     rows = payloads.select(
-        "id",
+        c("id").alias(key),
         c("credits.cast").alias("_cast"), c("credits.crew").alias("_crew"), c("created_by").alias("_by"),
     )
     nobody = F.array().cast("array<bigint>")
@@ -132,9 +152,6 @@ def serie_credits(payloads: DataFrame) -> DataFrame:
         for out, array in (("_makers", "_by"), ("_in_crew", "_crew"), ("_in_cast", "_cast"))
     })
 
-    def made(person: Column) -> Column:
-        return F.array_contains(c("_makers"), person)
-
     def creator(x: Column, order: Column) -> Column:
         named = F.struct(
             x["credit_id"].alias("credit_id"), x["id"].alias("id"), F.lit("").alias("character"),
@@ -142,32 +159,38 @@ def serie_credits(payloads: DataFrame) -> DataFrame:
         )
         return _credit(named, "crew", order)
 
-    normal = F.concat(
-        _ranked(c("_cast"), "cast"),
-        _ranked(c("_crew"), "crew", lambda x: F.when(made(x["id"]), 1).otherwise(0)),
-    )
+    normal = F.concat(_entries(c("_cast"), "cast"), _entries(c("_crew"), "crew"))
+    listed = _first_places(rows.select(key, "_makers", F.inline(normal)), key)
+    moved = (c("part") == 1) & F.array_contains("_makers", c("ID_PERSON"))
+    listed = listed.withColumn("DISPLAY_ORDER", c("DISPLAY_ORDER") + F.when(moved, 1).otherwise(0)).drop("_makers")
     # of several entries of one creator the first counts
     in_crew = F.filter(
         "_by",
         lambda x, i: F.array_contains(c("_in_crew"), x["id"])
         & (F.array_position(c("_makers"), x["id"]) == i + 1),
     )
-    crew_creators = F.transform(
-        in_crew, lambda x: creator(x, F.array_position(c("_in_crew"), x["id"]))
-    )
+
+    def at(x: Column) -> Column:
+        return F.array_position(c("_in_crew"), x["id"])
+
+    crew_creators = F.transform(in_crew, lambda x: _written(1, at(x) - 1, 0, creator(x, at(x))))
     absent = F.filter(
         "_by",
         lambda x: ~F.array_contains(c("_in_crew"), x["id"]) & ~F.array_contains(c("_in_cast"), x["id"]),
     )
-    rows = rows.withColumn("_normal", normal)
-    last = F.when(F.size("_normal") > 0, F.element_at("_normal", -1)["DISPLAY_ORDER"]).otherwise(0)
-    rows = rows.withColumn("_last", last)
-    late = F.transform(absent, lambda x, i: creator(x, c("_last") + i + 1))
-    none = F.expr(_NO_CREDITS)
-    everything = F.concat(
-        c("_normal"), F.coalesce(crew_creators, none), F.coalesce(late, none)
+    # the order of the last normal entry: the first place of its person, moved for a creator
+    person = F.element_at("_in_crew", -1)
+    last = (
+        F.when(F.size("_in_crew") > 0, F.array_position("_in_crew", person)
+               + F.when(F.array_contains("_makers", person), 1).otherwise(0))
+        .when(F.size("_in_cast") > 0, F.array_position("_in_cast", F.element_at("_in_cast", -1)))
+        .otherwise(0)
     )
-    return rows.select(c("id").alias("ID_SERIE"), F.inline(everything)).dropDuplicates(["ID_CREDIT"])
+    late = F.transform(absent, lambda x, i: _written(2, i, 0, creator(x, c("_end") + i + 1)))
+    none = F.array().cast(_CREDIT)
+    creators = rows.withColumn("_end", last).select(
+        key, F.inline(F.concat(F.coalesce(crew_creators, none).cast(_CREDIT), F.coalesce(late, none).cast(_CREDIT))))
+    return _last_written(listed.unionByName(creators), key)
 
 
 def write_credits(
@@ -280,13 +303,13 @@ def person_rows(payloads: DataFrame) -> DataFrame:
 
 
 def person_credits(payloads: DataFrame, media: str, key: str) -> DataFrame:
-    """Credits of one media type; a person payload carries no display order."""
+    """Credits of one media type, the last entry of a credit; a person payload carries no display order."""
     none = F.lit(None).cast("int")
 
     def side(kind: str) -> Column:
-        wanted = F.filter(f"combined_credits.{kind}", lambda x: x["media_type"] == media)
         rows = F.transform(
-            wanted, lambda x: F.struct(x["id"].alias(key), _credit(
+            f"combined_credits.{kind}",
+            lambda x, i: F.struct(x["media_type"].alias("media"), i.alias("place"), x["id"].alias(key), _credit(
                 F.struct(
                     x["credit_id"].alias("credit_id"), c("id").alias("id"),
                     x["character"].alias("character"), x["department"].alias("department"),
@@ -296,11 +319,13 @@ def person_credits(payloads: DataFrame, media: str, key: str) -> DataFrame:
         return F.explode_outer(rows)
 
     parts = [
-        payloads.select(side(kind).alias("_c")).filter("_c is not null")
-        .select(f"_c.{key}", "_c.credit.*").drop("DISPLAY_ORDER")
-        for kind in ("cast", "crew")
+        payloads.select(side(kind).alias("_c")).filter(c("_c.media") == media)
+        .select(F.lit(part).alias("part"), "_c.place", F.lit(0).alias("step"), f"_c.{key}", "_c.credit.*")
+        .drop("DISPLAY_ORDER")
+        for part, kind in enumerate(("cast", "crew"))
     ]
-    return reduce(DataFrame.unionByName, parts).dropDuplicates(["ID_CREDIT"])
+    rows = reduce(DataFrame.unionByName, parts)
+    return _last_written(rows, "ID_PERSON")
 
 
 def ingest_persons(tables: Mapping[str, DataFrame], payloads: DataFrame, audit: Audit) -> Tables:
@@ -420,16 +445,18 @@ def image_rows(payloads: DataFrame, key: str) -> DataFrame:
     return rows.groupBy(*link).agg(last).select(*link, "_last.*")
 
 
-def ingest_images(tables: Mapping[str, DataFrame], payloads: DataFrame, entity: str, audit: Audit) -> Tables:
-    """Images of any entity; those a payload no longer names are purged."""
+def ingest_images(
+    tables: Mapping[str, DataFrame], payloads: DataFrame, entity: str, audit: Audit, mark: bool = True
+) -> Tables:
+    """Images of any entity; those a payload no longer names are purged.  ``mark`` stamps the entity."""
     key, table = f"ID_{entity.upper()}", f"{entity}_image"
     rows = image_rows(payloads, key)
     written = upsert(tables[table], rows, [key, "TYPE_IMAGE", "IMAGE_PATH"], audit)
     parents = payloads.select(c("id").alias(key))
-    return {
-        table: sync_children(written, rows, [key], ["IMAGE_PATH"], "purge", parents),
-        entity: stamp(tables[entity], parents, key, ["TIM_IMAGES_COMPLETED"], audit.now),
-    }
+    out = {table: sync_children(written, rows, [key], ["IMAGE_PATH"], "purge", parents)}
+    if mark:
+        out[entity] = stamp(tables[entity], parents, key, ["TIM_IMAGES_COMPLETED"], audit.now)
+    return out
 
 
 def video_rows(payloads: DataFrame, key: str, tz: str) -> DataFrame:
@@ -445,21 +472,26 @@ def video_rows(payloads: DataFrame, key: str, tz: str) -> DataFrame:
         F.concat(F.coalesce("item.size", F.lit(0)).cast("string"), F.lit("p")).alias("QUALITY_TEXT"),
         flag(c("item.official")).alias("OFFICIAL"), "DISPLAY_ORDER",
     )
-    return rows.dropDuplicates([key, "LANG", "ID_CREDIT"])
+    # of several entries of one video the last counts
+    link = [key, "LANG", "ID_CREDIT"]
+    rest = [n for n in rows.columns if n not in link and n != "DISPLAY_ORDER"]
+    last = F.max(F.struct("DISPLAY_ORDER", *rest)).alias("_last")
+    return rows.groupBy(*link).agg(last).select(*link, "_last.*")
 
 
 def ingest_videos(
-    tables: Mapping[str, DataFrame], payloads: DataFrame, title: str, audit: Audit, tz: str = "Europe/Paris"
+    tables: Mapping[str, DataFrame], payloads: DataFrame, title: str, audit: Audit, tz: str = "Europe/Paris",
+    mark: bool = True,
 ) -> Tables:
-    """Videos of titles in the requested language; those no longer named are purged."""
+    """Videos of titles in the requested language; those no longer named are purged.  ``mark`` stamps the title."""
     key, table = f"ID_{title.upper()}", f"{title}_video"
     rows = video_rows(payloads, key, tz)
     parents = payloads.select(c("id").alias(key), c("lang").alias("LANG"))
     link = [key, "LANG", "ID_CREDIT"]
-    return {
-        table: replace_children(tables[table], rows, link, [key, "LANG"], audit, "purge", parents),
-        title: stamp(tables[title], parents, key, ["TIM_VIDEOS_COMPLETED"], audit.now),
-    }
+    out = {table: replace_children(tables[table], rows, link, [key, "LANG"], audit, "purge", parents)}
+    if mark:
+        out[title] = stamp(tables[title], parents, key, ["TIM_VIDEOS_COMPLETED"], audit.now)
+    return out
 
 
 # --- whole entities ---------------------------------------------------------
@@ -480,17 +512,22 @@ def refresh_titles(
         "main": lambda p: main(current, p, audit),
         "lang": lambda p: ingest_variants(current, p, title, audit),
         "keywords": lambda p: ingest_keyword_links(current, p, title, audit),
-        "images": lambda p: ingest_images(current, p, title, audit),
-        "videos": lambda p: ingest_videos(current, p, title, audit),
+        "images": lambda p: ingest_images(current, p, title, audit, mark=False),
+        "videos": lambda p: ingest_videos(current, p, title, audit, mark=False),
+    }
+    stamps = {
+        "main": ["TIM_CREDITS_COMPLETED", "TIM_UPDATED"], "keywords": ["TIM_KEYWORDS_COMPLETED"],
+        "images": ["TIM_IMAGES_COMPLETED"], "videos": ["TIM_VIDEOS_COMPLETED"],
     }
-    stamps = {"main": ["TIM_CREDITS_COMPLETED", "TIM_UPDATED"], "keywords": ["TIM_KEYWORDS_COMPLETED"]}
+    done: dict[str, list[DataFrame]] = {}
     for kind, step in steps.items():
         if kind not in landed:
             continue
         current.update(step(landed[kind]))
-        if kind in stamps:
-            ids = landed[kind].select(c("id").alias(key))
-            current[title] = stamp(current[title], ids, key, stamps[kind], audit.now)
+        for column in stamps.get(kind, ()):
+            done.setdefault(column, []).append(landed[kind].select(c("id").alias(key)))
+    # all completion times in one join
+    current[title] = stamp_all(current[title], done, key, audit.now)
     return current
 
 

@@ -53,9 +53,11 @@ NETWORK_COLUMNS = [
 
 
 def publish_columns(df: DataFrame, columns: Sequence[str], renamed: Mapping[str, str]) -> DataFrame:
-    """Project raw columns (those the table has) and rename some of them."""
-    kept = [c for c in columns if c in df.columns]
-    return df.select(*kept, *[F.col(old).alias(new) for old, new in renamed.items()])
+    """Project raw columns and rename some of them; a column the table lacks is an error."""
+    missing = [c for c in [*columns, *renamed] if c not in df.columns]
+    if missing:
+        raise ValueError(f"columns missing in the raw table: {missing}")
+    return df.select(*columns, *[F.col(old).alias(new) for old, new in renamed.items()])
 
 
 def lookup_by(

@@ -34,6 +34,13 @@ def build_session(master: str | None = None, app: str = "cataloom", **extra: str
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> None:
+    """Give a session that was built elsewhere the settings that can still be changed."""
+    for key, value in SETTINGS.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 

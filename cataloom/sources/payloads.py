@@ -13,21 +13,34 @@ def _usable(status: Column) -> Column:
 
 
 def read_payloads(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Landed JSON lines with a fixed schema; error answers are dropped."""
-    return spark.read.schema(schema).json(path).filter(_usable(F.col("status_code")))
+    """Landed JSON lines with a fixed schema; error answers, unreadable lines and those without id are dropped."""
+    rows = spark.read.schema(schema).json(path)
+    rows = rows.filter(_usable(F.col("status_code")))
+    return rows.filter(F.col("id").isNotNull()) if "id" in rows.columns else rows
 
 
 def parse_payloads(df: DataFrame, column: str, schema: str, out: str = "payload") -> DataFrame:
-    """Parse a JSON text column; unreadable texts and error answers are dropped."""
-    parsed = df.withColumn(out, F.from_json(F.col(column), schema))
-    if "status_code" in parsed.schema[out].dataType.fieldNames():
+    """Parse a JSON text column; unreadable texts, error answers and payloads without id are dropped.
+
+    An unreadable text parses to nulls.  A schema without ``id`` keeps a marker of the parser instead.
+    """
+    names = df.select(F.from_json(F.lit("{}"), schema).alias("x")).schema["x"].dataType.fieldNames()
+    if "id" in names:
+        parsed = df.withColumn(out, F.from_json(F.col(column), schema)).filter(F.col(out)["id"].isNotNull())
+    else:
+        marked = F.from_json(F.col(column), f"{schema}, _bad string", {"columnNameOfCorruptRecord": "_bad"})
+        parsed = df.withColumn(out, marked).filter(F.col(out).isNotNull() & F.col(out)["_bad"].isNull())
+        parsed = parsed.withColumn(out, F.col(out).dropFields("_bad"))
+    if "status_code" in names:
         parsed = parsed.filter(_usable(F.col(out)["status_code"]))
-    return parsed.filter(F.col(out).isNotNull()).drop(column)
+    return parsed.drop(column)
 
 
 def explode_pages(df: DataFrame, parent: str, page: str, items: str, width: int = SLICE) -> DataFrame:
     """Items of a list spread over pages, numbered from 1 across the pages."""
-    numbered = running_total(df, [parent], page, F.coalesce(F.size(items), F.lit(0)), "_before", width)
-    rows = numbered.select(parent, page, "_before", F.posexplode(items).alias("_pos", "item"))
+    # only the sizes go through the running total
+    sizes = df.select(parent, page, F.coalesce(F.size(items), F.lit(0)).alias("_n"))
+    before = running_total(sizes, [parent], page, F.col("_n"), "_before", width).drop("_n")
+    rows = df.join(before, [parent, page]).select(parent, page, "_before", F.posexplode(items).alias("_pos", "item"))
     order = (F.col("_before") + F.col("_pos") + 1).cast("int")
     return rows.select(parent, page, order.alias("DISPLAY_ORDER"), "item")
