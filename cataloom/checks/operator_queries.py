@@ -1070,18 +1070,26 @@ def _(spark, sf):
 
 
 @query("f18_lemma_bridge", f"""
-WITH {_LEMMAS},
-kept AS (SELECT * FROM lem WHERE LABEL IN ('NOUN', 'PROPN', 'VERB', 'ADJ', 'X', 'NUM')),
-known AS (SELECT p_partkey AS ID_LEMME, 'en' AS LANG, 'X' AS LABEL, p_name AS NAME FROM part WHERE p_partkey < 10),
-fresh AS (SELECT DISTINCT 'en' AS LANG, LEMMA AS NAME, LABEL FROM kept),
-ids AS (SELECT LANG, NAME, LABEL, 9 + row_number() OVER (
-    ORDER BY left(md5(LANG || chr(31) || NAME || chr(31) || LABEL), 3), LANG, NAME, LABEL) AS ID_LEMME FROM fresh)
+WITH {_LEMMAS.replace("lem AS (", "lem AS MATERIALIZED (")},
+kept AS MATERIALIZED (SELECT * FROM lem WHERE LABEL IN ('NOUN', 'PROPN', 'VERB', 'ADJ', 'X', 'NUM')),
+heads AS (SELECT 10000000 + min(doc_id) AS ID_LEMME, regexp_extract(text, '^[A-Za-z]+') AS NAME FROM documents GROUP BY 2),
+known AS MATERIALIZED (SELECT p_partkey AS ID_LEMME, 'en' AS LANG, 'X' AS LABEL, p_name AS NAME FROM part
+  UNION ALL SELECT ID_LEMME, 'en', 'X', NAME FROM heads WHERE NAME <> '' AND NAME NOT IN (SELECT p_name FROM part)),
+fresh AS (SELECT DISTINCT 'en' AS LANG, LEMMA AS NAME, LABEL FROM kept
+  WHERE NOT EXISTS (SELECT 1 FROM known WHERE known.NAME = LEMMA AND known.LABEL = kept.LABEL)),
+ids AS MATERIALIZED (SELECT ID_LEMME, NAME, LABEL FROM known
+  UNION ALL SELECT (SELECT max(ID_LEMME) FROM known) + row_number() OVER (
+    ORDER BY left(md5(LANG || chr(31) || NAME || chr(31) || LABEL), 3), LANG, NAME, LABEL), NAME, LABEL FROM fresh)
 SELECT doc_id, ID_LEMME, START_CHAR FROM kept JOIN ids ON LEMMA = NAME AND kept.LABEL = ids.LABEL""")
 def _(spark, sf):
-    known = read(spark, sf, "part").filter(c("p_partkey") < 10).select(
-        c("p_partkey").alias("ID_LEMME"), F.lit("en").alias("LANG"), F.lit("X").alias("LABEL"), c("p_name").alias("NAME")
-    )
+    """Known lemmas: all part names, and the first word of every document."""
     docs = read(spark, sf, "documents").select("doc_id", "text")
+    parts = read(spark, sf, "part").select(c("p_partkey").alias("ID_LEMME"), c("p_name").alias("NAME"))
+    heads = docs.groupBy(F.regexp_extract("text", "^[A-Za-z]+", 0).alias("NAME")).agg(
+        (F.min("doc_id") + 10000000).alias("ID_LEMME"))
+    heads = heads.filter("NAME <> ''").join(parts, "NAME", "left_anti")
+    known = parts.unionByName(heads).select(
+        "ID_LEMME", F.lit("en").alias("LANG"), F.lit("X").alias("LABEL"), "NAME")
     return lemma_bridge(docs, "doc_id", "text", "en", known, small_dictionary(spark, sf))[1]
 
 
@@ -1128,20 +1136,32 @@ def _(spark, sf):
 
 
 @query("s1_stream_upsert", """
-SELECT user_id, event_id, event_type, value FROM events
-QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
-def _(spark, sf):
-    schema = read(spark, sf, "events").schema
+WITH last AS (SELECT user_id, event_id, event_type FROM events
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1),
+supplied AS (SELECT user_id, value FROM events WHERE event_type <> 'error'
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
+SELECT last.*, value FROM last LEFT JOIN supplied USING (user_id)""")
+def _(spark, sf):
+    """Several batches, a compaction, more batches, then a run whose checkpoint was lost."""
+    events = read(spark, sf, "events").withColumn("value", F.when(c("event_type") != "error", c("value")))
     root = scratch(spark)
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    keys, order = ["user_id"], ["ts", "event_id"]
-    S.stream_upsert(stream, f"{root}/table", f"{root}/checkpoint", keys, order)
-    current = S.read_current(spark, f"{root}/table", schema, keys, order)
+    keys, order, partial = ["user_id"], ["ts", "event_id"], ["value"]
+
+    def run(checkpoint: str) -> None:
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in/*")
+        S.stream_upsert(stream, f"{root}/table", f"{root}/{checkpoint}", keys, order, partial)
+
+    for part in range(3):
+        events.filter(c("event_id") % 3 == part).coalesce(1).write.parquet(f"{root}/in/{part}")
+        run("first" if part < 2 else "second")
+        if part == 0:
+            S.compact(spark, f"{root}/table", events.schema, keys, order, partial)
+    current = S.read_current(spark, f"{root}/table", events.schema, keys, order, partial)
     return current.select("user_id", "event_id", "event_type", "value")
 
 
 @query("s2_resume_from", """
 SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey >= (SELECT min(l_orderkey) FROM lineitem WHERE l_quantity >= 50)""")
 def _(spark, sf):
-    done = read(spark, sf, "lineitem").filter(c("l_quantity") >= 50).agg(F.min("l_orderkey")).first()[0]
+    done = read(spark, sf, "lineitem").filter(c("l_quantity") >= 50).agg(F.min("l_orderkey")).scalar()
     return S.resume_from(read(spark, sf, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey", done)

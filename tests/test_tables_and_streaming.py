@@ -61,8 +61,31 @@ def test_stream_equals_batch_over_files_and_restart(spark, tmp_path, rows_of):
     add(data[40:])
     whole = rows_of(S.latest_per_key(spark.createDataFrame(data, ddl), keys, order))
     assert run() == whole
-    S.compact(spark, target, str(tmp_path / "small"), ddl, keys, order)
-    assert rows_of(spark.read.parquet(str(tmp_path / "small"))) == whole
+    S.compact(spark, target, ddl, keys, order)
+    assert rows_of(S.read_current(spark, target, ddl, keys, order)) == whole
+    # a new checkpoint reads everything again and loses nothing
+    mark = str(tmp_path / "other")
+    add([(77, 1, "late")])
+    assert set(run()) == {*whole, (77, 1, "late")}
+    S.compact(spark, target, ddl, keys, order)
+    S.compact(spark, target, ddl, keys, order)
+    assert set(rows_of(S.read_current(spark, target, ddl, keys, order))) == {*whole, (77, 1, "late")}
+
+
+def test_stream_keeps_columns_an_event_does_not_supply(spark, tmp_path, rows_of):
+    ddl, keys, order, partial = "k long, t long, a string, b long", ["k"], ["t"], ["a", "b"]
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    parts = [[(1, 1, "x", 10), (2, 1, None, None)], [(1, 3, None, 30)], [(1, 2, "y", 20), (2, 2, "z", None)]]
+    for n, part in enumerate(parts):
+        spark.createDataFrame(part, ddl).coalesce(1).write.mode("append").parquet(source)
+        S.stream_upsert(spark.readStream.schema(ddl).parquet(source), target, str(tmp_path / "mark"), keys, order, partial)
+        if n == 1:
+            S.compact(spark, target, ddl, keys, order, partial)
+    assert rows_of(S.read_current(spark, target, ddl, keys, order, partial)) == [(1, 3, "y", 30), (2, 2, "z", None)]
+
+
+def test_current_rows_of_a_table_without_batches(spark, tmp_path):
+    assert S.read_current(spark, str(tmp_path / "none"), "k long, t long", ["k"], ["t"]).collect() == []
 
 
 def test_resume(spark):
