@@ -104,11 +104,11 @@ def topic_members(tables: Mapping[str, DataFrame], title: str) -> DataFrame:
     return listed.unionByName(tagged).unionByName(parts)
 
 
-def build_topics(tables: Mapping[str, DataFrame], staged: bool = False) -> dict[str, DataFrame]:
+def build_topics(tables: Mapping[str, DataFrame], staged: bool = True) -> dict[str, DataFrame]:
     """Topics with at least two members, and their movie and series bridges.
 
-    The members feed the counts and both bridges.  ``staged`` writes members and
-    topics once to the shared folder, for jobs that write all three tables.
+    The members feed the counts and both bridges, so members and topics are written once to the
+    shared folder; without ``staged`` each of the three tables computes them anew.
     """
     record = ["TOPIC_TYPE", "ID_RECORD"]
     keep = stage if staged else lambda df: df
