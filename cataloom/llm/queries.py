@@ -34,7 +34,19 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
-@query("op1_ngram_jaccard_join")
+@query("op1_ngram_jaccard_join", r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS s FROM w),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM g GROUP BY 1),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM g a JOIN g b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS MATERIALIZED (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 80 * (a.n + b.n - c)),
+e AS MATERIALIZED (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT x AS a, x AS b FROM e UNION SELECT r.a, e.y FROM r JOIN e ON r.b = e.x),
+c AS (SELECT a, min(b) AS m FROM r GROUP BY 1)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.m, d.doc_id) AS component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.a = d.doc_id""")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(read(spark, sf_dir, "documents"))
 
