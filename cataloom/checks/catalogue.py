@@ -283,9 +283,9 @@ def _builders(spark: SparkSession, sf: str) -> dict[str, Callable[[], DataFrame]
             F.when(c("c_nationkey") < 5, "").otherwise(F.concat(F.lit("fr "), "c_name")).alias("NAME"),
             F.lit("sur").alias("OVERVIEW"), F.lit("/f").alias("POSTER_PATH"),
         ),
-        "topic": lambda: t("region").select(
-            c("r_regionkey").cast("bigint").alias("ID_TOPIC"), F.lit("list").alias("TOPIC_TYPE"),
-            c("r_regionkey").cast("bigint").alias("ID_RECORD"), F.lit("en").alias("LANG"),
+        "topic": lambda: t("customer").filter(c("c_nationkey") != 7).select(
+            c("c_custkey").alias("ID_TOPIC"), F.lit("collection").alias("TOPIC_TYPE"),
+            c("c_custkey").alias("ID_RECORD"), F.lit("en").alias("LANG"),
         ),
         "rating": lambda: t("part").select(
             text("tt", "p_partkey").alias("tconst"), (c("p_size") / 5.0).alias("averageRating")
@@ -328,9 +328,9 @@ def _builders(spark: SparkSession, sf: str) -> dict[str, Callable[[], DataFrame]
             text("I", "p_partkey").alias("ID_WIKIDATA"), F.when(c("p_type") == "PROMO", "fr").otherwise("en").alias("LANG"),
             c("p_name").alias("LABEL"),
         ),
-        "lang_lang": lambda: t("region").filter(c("r_regionkey") < 2).select(
-            pick(["fr", "en"], c("r_regionkey")).alias("LANG"), F.lit("fr").alias("LANG_DISPLAY"),
-            pick(["français", "anglais"], c("r_regionkey")).alias("DESCRIPTION"),
+        "lang_lang": lambda: t("region").select(
+            pick(["fr", "en", "es", "it", "pt"], c("r_regionkey")).alias("LANG"), F.lit("fr").alias("LANG_DISPLAY"),
+            pick(["français", "anglais", "espagnol", "italien", "portugais"], c("r_regionkey")).alias("DESCRIPTION"),
         ),
     }
 

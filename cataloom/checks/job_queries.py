@@ -133,9 +133,9 @@ cs AS (SELECT TOPIC_TYPE, ID_RECORD, count(*) AS n FROM ms GROUP BY 1, 2),
 gated AS (SELECT s.*, coalesce(cm.n, 0) AS MOVIE_COUNT, coalesce(cs.n, 0) AS SERIE_COUNT FROM sources s
   LEFT JOIN cm USING (TOPIC_TYPE, ID_RECORD) LEFT JOIN cs USING (TOPIC_TYPE, ID_RECORD)
   WHERE coalesce(cm.n, 0) + coalesce(cs.n, 0) > 1),
-known AS (SELECT CAST(r_regionkey AS BIGINT) AS ID_TOPIC, 'list' AS TOPIC_TYPE, CAST(r_regionkey AS BIGINT) AS ID_RECORD, 'en' AS LANG FROM region),
+known AS (SELECT c_custkey AS ID_TOPIC, 'collection' AS TOPIC_TYPE, c_custkey AS ID_RECORD, 'en' AS LANG FROM customer WHERE c_nationkey <> 7),
 ids AS (SELECT * FROM known UNION ALL
-  SELECT 4 + row_number() OVER (ORDER BY left(md5(TOPIC_TYPE || chr(31) || ID_RECORD || chr(31) || LANG), 3), TOPIC_TYPE, ID_RECORD, LANG),
+  SELECT (SELECT max(ID_TOPIC) FROM known) + row_number() OVER (ORDER BY left(md5(TOPIC_TYPE || chr(31) || ID_RECORD || chr(31) || LANG), 3), TOPIC_TYPE, ID_RECORD, LANG),
     TOPIC_TYPE, ID_RECORD, LANG FROM (SELECT DISTINCT TOPIC_TYPE, ID_RECORD, LANG FROM gated EXCEPT SELECT TOPIC_TYPE, ID_RECORD, LANG FROM known)),
 topics AS (SELECT ID_TOPIC, g.* FROM gated g JOIN ids USING (TOPIC_TYPE, ID_RECORD, LANG))"""
 _TOPIC_TABLES = "movie serie list list_lang collection collection_lang keyword movie_list serie_list movie_keyword serie_keyword"
@@ -170,7 +170,7 @@ def _(spark, sf):
 @query("g4_serie_topics", with_tables(_TOPIC_TABLES, _TOPICS + """
 SELECT DISTINCT ID_SERIE, ID_TOPIC, DISPLAY_ORDER FROM ms JOIN topics USING (TOPIC_TYPE, ID_RECORD)"""))
 def _(spark, sf):
-    return topics.build_topics(Catalogue(spark, sf), staged=True)["serie_topic"]
+    return topics.build_topics(Catalogue(spark, sf))["serie_topic"]
 
 
 # --- published mirrors ------------------------------------------------------

@@ -833,14 +833,6 @@ FORMAT_LINES = [
 ]
 
 
-def format_line(key: str) -> Column:
-    """A line for every row: a wording chosen by the key plus the row's own size."""
-    return F.concat(pick(FORMAT_LINES, c(key)), F.lit(" - "), c("p_size").cast("string"), F.lit(" mm"))
-
-
-LINE_SQL = pick_sql(FORMAT_LINES, "p_partkey") + " || ' - ' || p_size || ' mm'"
-
-
 def clean_sql(line: str) -> str:
     """The cleaning steps for a regex engine without look-around."""
     slash = r"'(^|[^0-9])/($|[^0-9])', '\1 \2', 'g'"
@@ -898,14 +890,20 @@ FORMAT_SQL = {
     "NUM_AUDIO_TRACKS": TRACK_SQL,
     "IS_VALID_FORMAT": VALID_SQL,
 }
-_LINES = f"lines AS (SELECT p_partkey, {clean_sql(LINE_SQL)} AS l FROM part)"
+# every line of every document, behind a wording chosen by its place
+LINE_SQL = pick_sql(FORMAT_LINES, "(doc_id + t.pos)") + " || ' - ' || t.line"
+_LINES = f"""lines AS (SELECT doc_id, CAST(t.pos AS BIGINT) AS pos, {clean_sql(LINE_SQL)} AS l
+  FROM documents, unnest(string_split(text, chr(10))) WITH ORDINALITY AS t(line, pos))"""
 
 
 def _format_lines(spark, sf):
-    return read(spark, sf, "part").select("p_partkey", FM.clean_format(format_line("p_partkey")).alias("l"))
+    rows = read(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    rows = rows.withColumn("pos", c("pos").cast("bigint") + 1)
+    line = F.concat(pick(FORMAT_LINES, c("doc_id") + c("pos")), F.lit(" - "), c("line"))
+    return rows.select("doc_id", "pos", FM.clean_format(line).alias("l"))
 
 
-@query("f1_clean_format", f"WITH {_LINES} SELECT p_partkey, l FROM lines")
+@query("f1_clean_format", f"WITH {_LINES} SELECT doc_id, pos, l FROM lines")
 def _(spark, sf):
     return _format_lines(spark, sf)
 
@@ -924,10 +922,10 @@ def _format_query(name: str, columns: list[str]) -> None:
     """Query over some of the columns read from a cleaned line."""
     sql = ", ".join(f"{FORMAT_SQL[n]} AS {n}" for n in columns)
 
-    @query(name, f"WITH {_LINES} SELECT p_partkey, {sql} FROM lines")
+    @query(name, f"WITH {_LINES} SELECT doc_id, pos, {sql} FROM lines")
     def _(spark, sf):
         found = FM.format_columns("l")
-        return _format_lines(spark, sf).select("p_partkey", *[found[n].alias(n) for n in columns])
+        return _format_lines(spark, sf).select("doc_id", "pos", *[found[n].alias(n) for n in columns])
 
 
 _format_query("f2_technology_tags", ["COLOR_TECHNOLOGY", "FILM_TECHNOLOGY", "SOUND_TECHNOLOGY"])
