@@ -362,8 +362,8 @@ SELECT d.ID_MOVIE, strftime(DAT_RELEASE, '%Y') AS YEAR_RELEASE,
   CASE WHEN IS_DOCUMENTARY = 1 THEN round(coalesce(averageRating, 0.0) - 1.5, 1) ELSE coalesce(averageRating, 0.0) END AS IMDB_RATING_ADJUSTED,
   coalesce(nullif(g.NAME, ''), c_name) AS COLLECTION
 FROM docs d LEFT JOIN kw USING (ID_MOVIE) LEFT JOIN li USING (ID_MOVIE) LEFT JOIN ca USING (ID_MOVIE) LEFT JOIN ar USING (ID_MOVIE)
-  LEFT JOIN rating ON tconst = ID_IMDB LEFT JOIN customer ON c_custkey = d.ID_COLLECTION
-  LEFT JOIN collection_lang g ON g.ID_COLLECTION = d.ID_COLLECTION"""))
+  LEFT JOIN rating ON tconst = ID_IMDB LEFT JOIN customer ON c_custkey = d.ID_COLLECTION AND d.ID_COLLECTION <> 0
+  LEFT JOIN collection_lang g ON g.ID_COLLECTION = d.ID_COLLECTION AND d.ID_COLLECTION <> 0"""))
 def _(spark, sf):
     return documents.movie_documents(Catalogue(spark, sf), "fr").select(
         "ID_MOVIE", "YEAR_RELEASE", "GENRES", "KEYWORDS", "LISTS", "CAST_TOP", "ART", "IMDB_RATING",

@@ -64,6 +64,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def staging_path(spark: SparkSession) -> str:
+    """A new place in the shared folder; it goes with ``drop_staged`` or when the driver ends."""
+    path = f"{shared_folder(spark)}/cataloom-stage-{uuid.uuid4().hex}"
+    if not _staged:
+        atexit.register(_drop_at_exit)
+    _staged.append(path)
+    return path
+
+
 def stage(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """Write rows once to the shared folder as Parquet and read them from there.
 
@@ -72,10 +81,7 @@ def stage(df: DataFrame, compression: str = "snappy") -> DataFrame:
     ``drop_staged`` or when the driver ends.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/cataloom-stage-{uuid.uuid4().hex}"
-    if not _staged:
-        atexit.register(_drop_at_exit)
-    _staged.append(path)
+    path = staging_path(spark)
     df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 

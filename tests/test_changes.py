@@ -116,3 +116,27 @@ def test_assign_ids_to_empty_dimension(spark):
     dim = spark.createDataFrame([], "ID long, N string")
     out = U.assign_ids(dim, frame(spark, [("a",), ("b",)], "N string"), ["N"], "ID")
     assert sorted(r.ID for r in out.collect()) == [1, 2]
+
+
+def test_null_keys_are_refused_and_known_null_values_keep_their_id(spark, audit, rows_of):
+    target = frame(spark, [(1, "a")], "K long, V string")
+    out = U.upsert(target, frame(spark, [(None, "x"), (1, "b"), (2, "c")], "K long, V string"), ["K"], audit)
+    assert rows_of(out) == [(1, "b"), (2, "c")]
+    dim = frame(spark, [(4, "a", None), (7, None, "x")], "ID long, N string, M string")
+    values = frame(spark, [("a", None), (None, "x"), (None, None)], "N string, M string")
+    grown = U.assign_ids(dim, values, ["N", "M"], "ID")
+    assert rows_of(grown) == [(4, "a", None), (7, None, "x"), (8, None, None)]
+    assert grown.count() == U.assign_ids(grown, values, ["N", "M"], "ID").count()
+
+
+def test_all_times_are_stamped_in_one_join(spark, audit, rows_of):
+    df = frame(spark, [(1, None, None), (2, None, None), (3, None, None)], "K long, A timestamp_ntz, B timestamp_ntz")
+    done = {"A": [frame(spark, [(1,), (1,)], "K long"), frame(spark, [(2,)], "K long")], "B": [frame(spark, [(2,)], "K long")]}
+    out = U.stamp_all(df, done, "K", audit.now)
+    assert rows_of(out) == [(1, audit.now, None), (2, audit.now, audit.now), (3, None, None)]
+
+
+def test_upsert_of_few_changes_leaves_the_target_in_place(spark, audit):
+    target = spark.range(1000).selectExpr("id AS K", "'a' AS V")
+    plan = U.upsert(target, frame(spark, [(1, "b")], "K long, V string"), ["K"], audit)._jdf.queryExecution().toString()
+    assert "FullOuter" not in plan

@@ -7,7 +7,7 @@ import pytest
 
 from cataloom import schemas
 from cataloom.plans import ingest
-from cataloom.sources.payloads import read_payloads
+from cataloom.sources.payloads import parse_payloads, read_payloads
 
 
 @pytest.fixture
@@ -162,3 +162,41 @@ def test_refresh_and_remove(spark, land, empty, audit, rows_of):
     assert rows_of(out["movie_lang"], "LANG", "TITLE", "OVERVIEW") == [("fr", None, "r")]
     left = ingest.remove_gone(out, spark.createDataFrame([(1,)], "ID_MOVIE long"), "movie")
     assert all(df.count() == 0 for df in left.values()) and "person_movie" in left
+
+
+def test_last_written_entry_of_a_credit_counts(land, empty, audit, rows_of):
+    twice = {**MOVIE, "credits": {
+        "cast": [credit(1, 7, character="A"), credit(2, 8, character="B"), credit(2, 9, character="C")],
+        "crew": [credit(1, 6, department="Art", job="J"), {"id": 5, "name": "n", "department": "Art", "job": "K"},
+                 {"id": 4, "name": "n", "department": "Art", "job": "L"}]}}
+    out = ingest.ingest_movies(empty, land("movie", [twice]), audit)["person_movie"]
+    assert rows_of(out, "ID_CREDIT", "ID_PERSON", "CREDIT_TYPE", "CREW_JOB", "DISPLAY_ORDER") == [
+        ("c1", 6, "crew", "J", 1), ("c2", 9, "cast", "", 3)]
+
+
+def test_normal_series_row_is_written_after_the_creator_row(land, empty, audit, rows_of):
+    serie = {"id": 3, "name": "S", "created_by": [{"id": 6, "credit_id": "c4", "name": "n"}, {"id": 9, "credit_id": "c9", "name": "n"}],
+             "credits": {"cast": [], "crew": [credit(4, 6, department="Art", job="J")]}}
+    out = ingest.ingest_series(empty, land("serie", [serie]), audit)["person_serie"]
+    assert rows_of(out, "ID_CREDIT", "ID_PERSON", "CREW_JOB", "DISPLAY_ORDER") == [("c4", 6, "J", 2), ("c9", 9, "Creator", 3)]
+
+
+def test_last_entry_of_a_person_credit_and_of_a_video_counts(land, empty, audit, rows_of):
+    entry = {"media_type": "movie", "id": 1, "credit_id": "c1"}
+    person = {"id": 2, "name": "P", "combined_credits": {
+        "cast": [{**entry, "character": "A"}], "crew": [{**entry, "department": "Art", "job": "J"}]}}
+    out = ingest.ingest_persons(empty, land("person", [person]), audit)["person_movie"]
+    assert rows_of(out, "ID_CREDIT", "CREDIT_TYPE", "CREW_JOB") == [("c1", "crew", "J")]
+    videos = {"id": 1, "lang": "fr", "results": [{"id": "v", "name": "first"}, {"id": "v", "name": "second"}]}
+    out = ingest.ingest_videos(empty, land("videos", [videos]), "movie", audit)["movie_video"]
+    assert rows_of(out, "ID_CREDIT", "VIDEO_NAME", "DISPLAY_ORDER") == [("v", "second", 2)]
+
+
+def test_unreadable_payloads_are_dropped(spark, empty, audit, tmp_path):
+    path = tmp_path / "bad.json"
+    path.write_text('garbage{\n{"title": "no id"}\n{"id": 1, "title": "T"}\n\n{"id": 2, "status_code": 34}\n')
+    payloads = read_payloads(spark, str(path), schemas.PAYLOADS["movie"])
+    assert [r.id for r in payloads.collect()] == [1]
+    texts = spark.createDataFrame([("garbage{",), ("",), (None,), ('{"id": 3}',), ('{"x": 1}',)], "body string")
+    assert [r.payload.id for r in parse_payloads(texts, "body", "id long, status_code int").collect()] == [3]
+    assert [r.payload.k for r in parse_payloads(texts, "body", "k int, status_code int").collect()] == [None, None]
