@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..session import stage, staging_path
 from .bpe import _type
 from .token_files import pack, unpack
 from .words import mix, word_hashes
@@ -180,7 +180,7 @@ def score(docs: DataFrame, weight: float = WEIGHT, damp: float = DAMP) -> DataFr
     parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     # bucketed by block, so that only answers move when they meet their block
     table = f"cataloom_blocks_{uuid.uuid4().hex}"
-    _blocks(docs).write.option("compression", "zstd").bucketBy(
+    _blocks(docs).write.option("compression", "zstd").option("path", staging_path(spark)).bucketBy(
         int(spark.conf.get("spark.sql.shuffle.partitions")), "block").saveAsTable(table)
     blocks = spark.table(table)
 

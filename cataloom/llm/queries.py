@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_folder, stage
+from ..session import stage, staging_path
 from . import bpe, counts, fingerprints, jaccard, lines, lm, packing, quality, shards, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,7 +59,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_token_files")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}"
+    folder = staging_path(spark)
     token_files.write_tokens(read(spark, sf_dir, "documents"), WORD_BPE, 1, folder)
     return token_files.read_tokens(spark, folder).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

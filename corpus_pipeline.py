@@ -6,14 +6,12 @@ which nothing is left), the Jaccard join keeps one document of each group, and p
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cataloom.llm import jaccard, lines, packing, quality
-from cataloom.session import shared_folder, stage
+from cataloom.session import stage, staging_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +54,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written as Parquet and read as the next one's input."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
+    folder = staging_path(spark)
     for name, step in STAGES:
         step(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
