@@ -272,7 +272,8 @@ _FIELDS = {
 _NAMES = list(dict.fromkeys(
     n for test, fr, en in V.SENTENCES for n in [test, *re.findall(r"\{(\w+)\}", fr + en)] if n
 ))
-_OTHERS = [n for n in [*_NAMES, *V.KEYWORD_FRAGMENTS] if n not in _FIELDS]
+_IN_TEXT = [n for n in V.PROPERTIES if n not in V.PROPERTIES_NOT_IN_TEXT]
+_OTHERS = [n for n in [*_NAMES, *V.KEYWORD_FRAGMENTS, *_IN_TEXT] if n not in _FIELDS]
 
 
 def _fields_sql() -> str:
@@ -310,11 +311,11 @@ def _sentences_sql(lang: str) -> str:
 
 @query("f22_keyword_document", f"""
 WITH f AS (SELECT p_partkey, {_fields_sql()} FROM part),
-w AS (SELECT p_partkey, t.w, min(t.pos) AS pos FROM f, unnest(string_split(concat_ws(' ', {", ".join(f"f_{n}" for n in V.KEYWORD_FRAGMENTS)}), ' '))
+w AS (SELECT p_partkey, t.w, min(t.pos) AS pos FROM f, unnest(string_split(concat_ws(' ', {", ".join(f"f_{n}" for n in [*V.KEYWORD_FRAGMENTS, *_IN_TEXT])}), ' '))
     WITH ORDINALITY AS t(w, pos) WHERE t.w <> '' GROUP BY ALL)
 SELECT p_partkey, string_agg(w, ' ' ORDER BY pos) AS TEXT_DOC FROM w GROUP BY 1""")
 def _(spark, sf):
-    return _part_fields(spark, sf).select("p_partkey", TX.keyword_document([]).alias("TEXT_DOC"))
+    return _part_fields(spark, sf).select("p_partkey", TX.keyword_document(_IN_TEXT).alias("TEXT_DOC"))
 
 
 @query("f23_sentences", f"""
@@ -360,7 +361,7 @@ SELECT d.ID_MOVIE, strftime(DAT_RELEASE, '%Y') AS YEAR_RELEASE,
   coalesce(KEYWORDS, '') AS KEYWORDS, coalesce(LISTS, '') AS LISTS, coalesce(CAST_TOP, '') AS CAST_TOP, coalesce(ART, '') AS ART,
   coalesce(averageRating, 0.0) AS IMDB_RATING,
   CASE WHEN IS_DOCUMENTARY = 1 THEN round(coalesce(averageRating, 0.0) - 1.5, 1) ELSE coalesce(averageRating, 0.0) END AS IMDB_RATING_ADJUSTED,
-  coalesce(nullif(g.NAME, ''), c_name) AS COLLECTION
+  coalesce(nullif(g.NAME, ''), c_name, '') AS COLLECTION
 FROM docs d LEFT JOIN kw USING (ID_MOVIE) LEFT JOIN li USING (ID_MOVIE) LEFT JOIN ca USING (ID_MOVIE) LEFT JOIN ar USING (ID_MOVIE)
   LEFT JOIN rating ON tconst = ID_IMDB LEFT JOIN customer ON c_custkey = d.ID_COLLECTION AND d.ID_COLLECTION <> 0
   LEFT JOIN collection_lang g ON g.ID_COLLECTION = d.ID_COLLECTION AND d.ID_COLLECTION <> 0"""))
