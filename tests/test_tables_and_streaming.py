@@ -18,6 +18,12 @@ def test_versions(spark, tmp_path):
     # a version without its success file does not count
     (tmp_path / "t" / "v=3").mkdir()
     assert T.read_table(spark, root, "t").count() == 2
+    # two writers of the same number: both keep their rows, readers see one of them whole
+    rows = spark.range(7)
+    rows.write.parquet(f"{root}/t/v=4-a")
+    rows.limit(3).write.parquet(f"{root}/t/v=4-b")
+    assert T.read_table(spark, root, "t").count() == 3
+    assert T.write_table(spark.range(1), root, "t") == 5
 
 
 def test_pushdown(spark, tmp_path):
