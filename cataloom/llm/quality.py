@@ -82,8 +82,9 @@ def with_statistics(df: DataFrame, text: str, into: str) -> DataFrame:
         "n_upper": F.regexp_count(t, F.lit(r"\p{Lu}")),
         "n_marks": F.regexp_count(t, F.lit(r"[!?;:]")),
     }
-    work = work.withColumn(into, F.struct(*(v.cast("long").alias(k) for k, v in counts.items())))
-    return work.drop(t, w, g, e, p, lines)
+    # one row each; a filter on the counts must not be moved below, where every use would compute them again
+    stats = F.explode_outer(F.array(F.struct(*(v.cast("long").alias(k) for k, v in counts.items()))))
+    return work.select(*(F.col(c) for c in df.columns), stats.alias(into))
 
 
 def base_failed(stats: Column) -> Column:
