@@ -36,7 +36,7 @@ CUT = re.compile(f"(?<=[^{BLANK}]) (?=[^{BLANK}])")
 SLICE = 1 << 16
 
 #: entries that a worker remembers: states of the transducer, token pairs
-STATES_KEPT, PAIRS_KEPT = 400_000, 400_000
+STATES_KEPT, PAIRS_KEPT = 800_000, 800_000
 
 
 def byte_letters() -> dict[str, int]:
