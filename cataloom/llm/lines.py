@@ -1,8 +1,9 @@
 """Line dedup: a segment-partition join on edit distance.
 
-Lines are ``\\n``-separated; only lines of at least ``MIN_CHARS`` code points are judged. A line goes when
+Lines are ``\\n``-separated; lines of at least ``MIN_CHARS`` code points are judged. A line goes when
 an earlier one (by ``doc_id``, then place) is within ``THRESHOLD`` edits of it, the earliest of a set of
-equal lines standing for all. Two lines within ``t`` edits share one of ``t + 1`` segments of the shorter,
+equal lines standing for all. Shorter lines are no matter for the edit join; with ``exact_chars`` they go when an
+earlier one equals them. Two lines within ``t`` edits share one of ``t + 1`` segments of the shorter,
 at a place that the edits before and after it allow: each line enters the index with its own segments and
 probes it with the substrings that can match a line up to ``t`` shorter. Pairs that meet and whose letter counts
 allow it are verified by a banded bit-parallel edit distance.
@@ -287,17 +288,22 @@ def near_links(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN
     return map_arrow(both.select("a", "b", "p", "q"), verified, "x long, y long")
 
 
-def judged_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+def judged_lines(docs: DataFrame, min_chars: int = MIN_CHARS, exact_chars: int | None = None) -> DataFrame:
     """``doc_id``, ``twin`` (hash of the text), ``line_no`` from 0, ``line`` (key) of every judged line."""
     t = F.coalesce(F.col("text"), F.lit(""))
+    judged = F.length("l") >= min_chars
+    if exact_chars is not None:
+        judged |= (F.length("l") >= exact_chars) & F.col("l").rlike(WORD)
     return docs.select("doc_id", F.xxhash64(t).alias("twin"), F.posexplode(F.split(t, "\n")).alias("line_no", "l")).where(
-        F.length("l") >= min_chars).select("doc_id", "twin", "line_no", F.xxhash64("l").alias("line"))
+        judged).select("doc_id", "twin", "line_no", F.xxhash64("l").alias("line"))
 
 
-def repeated_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
+def repeated_lines(
+    docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, exact_chars: int | None = None,
+) -> DataFrame:
     """The judged lines that have an earlier equal or near one: ``doc_id``, ``twin``, ``line_no``."""
     links = near_links(docs, threshold, min_chars)
-    lines = stage(judged_lines(docs, min_chars))
+    lines = stage(judged_lines(docs, min_chars, exact_chars))
     first = lines.groupBy("line").agg(
         F.min(F.struct("doc_id", "twin", "line_no")).alias("first"), F.count("*").alias("n"))
     at = stage(first)
@@ -312,14 +318,18 @@ def repeated_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int =
     ).select("doc_id", "twin", "line_no")
 
 
-def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, info: str | None = None) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, info: str | None = None,
+    exact_chars: int | None = None,
+) -> DataFrame:
     """``docs`` with repeated lines taken out of ``text``; all other columns as they were.
 
-    With ``info``, a struct column of that name tells ``n_lines`` (with a word) and ``n_removed``. Short lines and lines
-    without a word stay. A null or empty text stays as it is. Rows with the same id and text are one
+    With ``info``, a struct column of that name tells ``n_lines`` (with a word) and ``n_removed``. Lines under ``min_chars``
+    stay, unless ``exact_chars`` is given: then those with a word and at least that many code points go when an earlier line equals
+    them, so that nothing is left of an equal copy. A null or empty text stays as it is. Rows with the same id and text are one
     document: they lose the same lines. A text that loses all its lines becomes empty.
     """
-    gone = repeated_lines(docs, threshold, min_chars).groupBy("doc_id", "twin").agg(
+    gone = repeated_lines(docs, threshold, min_chars, exact_chars).groupBy("doc_id", "twin").agg(
         F.collect_set("line_no").alias("gone"))
     gone = gone.select(F.col("doc_id").alias("gone_doc"), F.col("twin").alias("gone_twin"), "gone")
     # columns travel in a struct, so that no name of theirs can clash

@@ -116,7 +116,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_line_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents with repeated lines taken out, and how many lines that were."""
-    cleaned = lines.dedup_lines(read(spark, sf_dir, "documents"), info="info")
+    cleaned = lines.dedup_lines(read(spark, sf_dir, "documents"), info="info", exact_chars=1)
     return cleaned.select("doc_id", "info.n_lines", "info.n_removed", "text")
 
 

@@ -22,7 +22,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated lines; those that lose all their words this way go, ``n_chars`` follows the text."""
     info = "line_dedup_"
-    cleaned = lines.dedup_lines(docs, info=info)
+    cleaned = lines.dedup_lines(docs, info=info, exact_chars=1)
     left = (F.col(info)["n_removed"] == 0) | F.col("text").rlike(lines.WORD)
     return cleaned.where(left).select(*(
         F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))

@@ -115,6 +115,22 @@ def test_line_dedup_of_no_documents(empty):
     assert lines.dedup_lines(empty).collect() == []
 
 
+def test_short_lines_of_copies_go(make_docs, same_rows):
+    rng = random.Random(12)
+    long = lambda: " ".join(rng.choice(["alpha", "beta", "gamma", "delta", "omega"]) + str(rng.random()) for _ in range(4))
+    body = "\n".join([long(), "Les.", "", long(), "A"])
+    rows = [(1, body), (2, body), (3, "\n".join([long(), "Les", "", "Les."])), (4, "Les.\nLes"), (5, "\n \n\n"), (6, body)]
+    got = lines.dedup_lines(make_docs(rows), info="info", exact_chars=1).collect()
+    third = rows[2][1].split("\n")
+    same_rows([(r.doc_id, r.text) for r in got], [
+        (1, body), (2, ""), (3, "\n".join(third[:3])), (4, ""), (5, "\n \n\n"), (6, "")])
+    assert {r.doc_id: (r.info.n_lines, r.info.n_removed) for r in got} == {
+        1: (4, 0), 2: (4, 4), 3: (3, 1), 4: (2, 2), 5: (0, 0), 6: (4, 4)}
+    docs = make_docs(rows).withColumn("n_chars", F.length("text").cast("long"))
+    kept = corpus_pipeline.line_dedup(docs.sparkSession, docs, "").collect()
+    assert {r.doc_id for r in kept} == {1, 3, 5}
+
+
 def jaccard_brute(rows, size=5, percent=80):
     sets = []
     for _, text in rows:
