@@ -192,8 +192,11 @@ def _buckets(threshold: int, limit: int | None):
             keys = rows[0]
             starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
             ends = np.r_[starts[1:], len(keys)]
-            for s, e in zip(starts[:-1][np.diff(starts) > 1], ends[:-1][np.diff(starts) > 1], strict=True):
-                yield from bucket([x[s:e] for x in rows], keys[s] == spilled)
+            several = np.flatnonzero(np.diff(starts) > 1)
+            if spilled is not None and len(starts) > 1:
+                several = np.union1d(several, [0])  # the line kept back, even if no other follows it
+            for k in several:
+                yield from bucket([x[starts[k] : ends[k]] for x in rows], keys[starts[k]] == spilled)
             held = [x[starts[-1] :] for x in rows]
             if spilled is not None and keys[starts[-1]] != spilled:
                 spilled = None

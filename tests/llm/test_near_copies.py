@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -131,6 +132,19 @@ def test_short_lines_of_copies_go(make_docs, same_rows):
     assert {r.doc_id for r in kept} == {1, 3, 5}
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 4, 5, 100])
+def test_heavy_buckets_lose_no_line_at_a_batch_edge(size):
+    rng = random.Random(size)
+    rows = sorted((key, line, 0, kind) for key in range(30) for line in range(rng.randint(1, 6)) for kind in range(rng.randint(1, 3)))
+    batches = [pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(zip(*rows[at : at + size], strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int8()), strict=True)],
+        ["key", "line", "counts", "kind"]) for at in range(0, len(rows), size)]
+    out = [r for b in lines._buckets(2, 2)(iter(batches)) for r in b.to_pylist()]
+    members = Counter(key for key, _ in {r[:2] for r in rows})
+    heavy = sorted((r["a"], r["b"]) for r in out if r["heavy"])
+    assert heavy == sorted({r[:2] for r in rows if members[r[0]] > 2})
+
+
 def jaccard_brute(rows, size=5, percent=80):
     sets = []
     for _, text in rows:
