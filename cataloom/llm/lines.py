@@ -152,13 +152,15 @@ def _compatible(a: np.ndarray, b: np.ndarray, threshold: int) -> np.ndarray:
 
 
 def _meet(lines: np.ndarray, counts: np.ndarray, kinds: np.ndarray, threshold: int) -> Iterator[tuple]:
-    """Pairs of different lines in one bucket, at least one of them by its own segment."""
-    own = np.flatnonzero(kinds == 0)
+    """Pairs of different lines in one bucket, at least one of them by its own segment; of two blocks (kind from 2), across them."""
+    own, sides = np.flatnonzero((kinds & 1) == 0), kinds >> 1
     for lo in range(0, len(lines), 1024):
         for at in range(0, len(own), 1024):
             some = own[at : at + 1024]
             fit = _compatible(counts[lo : lo + 1024], counts[some], threshold)
             fit &= lines[lo : lo + 1024][:, None] != lines[some][None, :]
+            if sides.any():
+                fit &= sides[lo : lo + 1024][:, None] != sides[some][None, :]
             p, q = np.nonzero(fit)
             if len(p):
                 x, y = lines[lo + p], lines[some[q]]
@@ -217,8 +219,21 @@ def _buckets(threshold: int, limit: int | None):
     return run
 
 
+def _blocks(heavy: DataFrame) -> DataFrame:
+    """Rows of heavy buckets, dealt to every pair of blocks of lines: one task holds about ``BUCKET`` of them."""
+    sizes = heavy.groupBy("a").agg(F.ceil(F.count("*") / max(1, BUCKET // 2)).cast("int").alias("blocks"))
+    rows = heavy.join(sizes, "a").withColumn("own", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int"))
+    rows = rows.select("a", "b", "counts", "kind", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 2).otherwise(4)
+    return rows.select(
+        F.xxhash64("a", F.least("own", "other"), F.greatest("own", "other")).alias("key"), F.col("b").alias("line"), "counts",
+        (F.col("kind") + side).cast("byte").alias("kind"))
+
+
 def near_links(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
-    """Pairs (``x``, ``y``) of keys of different judged lines within ``threshold`` edits, each pair once."""
+    """Pairs (``x``, ``y``) of keys of different judged lines within ``threshold`` (0 to 31) edits, each pair once."""
+    if not 0 <= threshold <= 31:
+        raise ValueError(f"threshold {threshold}: the edit distance counts 0 to 31 edits")
     spark = docs.sparkSession
 
     def segments(batches: Iterator[pa.RecordBatch]):
@@ -241,18 +256,19 @@ def near_links(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN
     shape = "a long, b long, heavy boolean, counts int, kind byte"
     dealt = rows.repartition("key").sortWithinPartitions("key", "line", "kind")
     met = stage(map_arrow(dealt, _buckets(threshold, BUCKET), shape).distinct())
-    # heavy buckets: 2t units of change leave one of 2t + 1 groups of letter classes as it is
-    groups = min(2 * threshold + 1, 8)
-    masks = [sum(15 << (4 * k) for k in range(8) if k % groups == g) for g in range(groups)]
-    again = met.where("heavy").select(
-        F.explode(F.array(*(F.xxhash64("a", F.lit(g), F.col("counts").cast("long").bitwiseAND(m)) for g, m in enumerate(masks)))).alias("key"),
-        F.col("b").alias("line"), "counts", "kind")
+    if 2 * threshold + 1 <= 8:
+        # heavy buckets: 2t units of change leave one of 2t + 1 groups of letter classes as it is
+        groups = 2 * threshold + 1
+        masks = [sum(15 << (4 * k) for k in range(8) if k % groups == g) for g in range(groups)]
+        again = met.where("heavy").select(
+            F.explode(F.array(*(F.xxhash64("a", F.lit(g), F.col("counts").cast("long").bitwiseAND(m)) for g, m in enumerate(masks)))).alias("key"),
+            F.col("b").alias("line"), "counts", "kind")
+    else:
+        # too few classes for that many groups: all lines of the bucket are compared
+        again = _blocks(met.where("heavy"))
     again = again.repartition("key").sortWithinPartitions("key", "line", "kind")
-    more = map_arrow(again, _buckets(threshold, None), shape) if 2 * threshold + 1 <= 8 else None
-    pairs = met.where("not heavy").select("a", "b")
-    if more is not None:
-        pairs = pairs.union(more.select("a", "b"))
-    pairs = stage(pairs.distinct())
+    more = map_arrow(again, _buckets(threshold, None), shape)
+    pairs = stage(met.where("not heavy").select("a", "b").union(more.select("a", "b")).distinct())
 
     # texts of lines that met: a filter of fixed size keeps most others from moving
     met_lines = pairs.select(F.explode(F.array("a", "b")).alias("line"))

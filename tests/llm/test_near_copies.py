@@ -145,6 +145,19 @@ def test_heavy_buckets_lose_no_line_at_a_batch_edge(size):
     assert heavy == sorted({r[:2] for r in rows if members[r[0]] > 2})
 
 
+@pytest.mark.parametrize("bucket", [5, 2])
+def test_heavy_buckets_are_compared_at_every_threshold(make_docs, same_rows, monkeypatch, bucket):
+    monkeypatch.setattr(lines, "BUCKET", bucket)
+    rows = line_rows()
+    got = lines.dedup_lines(make_docs(rows), 4).select("doc_id", "text").collect()
+    same_rows(got, dedup_brute(rows, 4, lines.MIN_CHARS))
+
+
+def test_thresholds_beyond_the_edit_distance_are_refused(empty):
+    with pytest.raises(ValueError):
+        lines.dedup_lines(empty, 32)
+
+
 def jaccard_brute(rows, size=5, percent=80):
     sets = []
     for _, text in rows:
