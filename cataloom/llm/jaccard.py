@@ -21,12 +21,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
 from .bpe import ROWS, _type
 from .components import components
+from .lines import WORD
 from .words import per_row, windows, word_hashes
 from .workers import map_arrow
 
@@ -396,7 +397,16 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -
 
 
 def keep_one(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component, with their own columns; rows without an id stay."""
-    found = near_duplicates(docs, size, percent)
-    gone = found.where("component_id != doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """One row of ``docs`` per component, with its own columns: of the rows with the smallest id, where that id is
+    repeated, one with a word, by the hash of its text. Rows without an id stay."""
+    found = near_duplicates(docs, size, percent).where("doc_id is not null").groupBy("doc_id").agg(
+        F.min("component_id").alias("component_id"), F.count("*").alias("n"))
+    marked = stage(found.where("component_id != doc_id or n > 1"))
+    single = docs.join(marked.select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    # rows that share the id that stays
+    several = docs.join(marked.where("component_id = doc_id").select("doc_id"), "doc_id", "left_semi")
+    several = several.select(F.struct(*docs.columns).alias("row"))
+    text = F.coalesce(F.col("row.text"), F.lit(""))
+    order = Window.partitionBy("row.doc_id").orderBy(text.rlike(WORD).desc(), F.xxhash64(text), text)
+    first = several.withColumn("place", F.row_number().over(order)).where("place = 1")
+    return single.union(first.select(*(F.col("row")[c].alias(c) for c in docs.columns)))

@@ -223,6 +223,24 @@ def test_keep_one_of_each_group(make_docs):
     assert {r.doc_id for r in kept.collect()} == {c for _, _, c in jaccard_brute(rows)}
 
 
+def test_keep_one_row_of_a_repeated_id(make_docs):
+    rows = near_rows(2, 9)
+    least = min(rows)
+    other = "quite another text under the same id " * 3
+    rows += [least, least, (least[0], other), (least[0], None), (5000, "one two"), (5000, "one two"), (5001, ""), (5001, " ")]
+    rows += [(5002, ""), (5002, "three four"), (None, "five six"), (None, "five six")]
+    docs = make_docs(rows)
+    kept = jaccard.keep_one(docs)
+    assert kept.columns == docs.columns
+    times = Counter(r.doc_id for r in kept.collect())
+    assert times.pop(None) == 2
+    assert set(times.values()) == {1}
+    assert set(times) == {c for _, _, c in jaccard_brute(rows) if c is not None} | {5001}
+    texts = {r.doc_id: r.text for r in kept.collect()}
+    assert texts[least[0]] in (least[1], other) and texts[5002] == "three four"
+    assert kept.where("n != 'own n' or row != 'own row'").count() == 0
+
+
 def test_jaccard_of_no_documents(empty):
     assert jaccard.near_duplicates(empty).collect() == []
 
