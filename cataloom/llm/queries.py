@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import stage, staging_path
-from . import bpe, counts, fingerprints, jaccard, lines, lm, packing, periodic, quality, shards, token_files
+from . import bpe, counts, fingerprints, jaccard, lines, lm, manifest, packing, periodic, quality, shards, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -149,3 +149,15 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
         F.floor(1000 * F.col("best.length") / -F.col("best.period")).alias("exponent_milli"),
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query("op12_merkle_manifest")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every second document the proof is tried with a text that has lost its line ends."""
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    tampered = F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    found, _ = manifest.build_manifest(read(spark, sf_dir, "documents"), tampered)
+    found = found.withColumn("folded_root", manifest.folded(F.col("other"), F.col("proof")))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(manifest.proof_text(F.col("proof")), 256).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"))
