@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import stage, staging_path
-from . import bpe, counts, fingerprints, jaccard, lines, lm, manifest, packing, periodic, quality, shards, token_files
+from . import bpe, counts, fingerprints, jaccard, lines, lm, manifest, packing, periodic, quality, shards, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -161,3 +161,9 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "leaf", "subroot", "root", F.sha2(manifest.proof_text(F.col("proof")), 256).alias("proof_sha256"), "folded_root",
         (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+@query("op11_toxicity")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return found.select("doc_id", "held_out", "score", "predicted")
