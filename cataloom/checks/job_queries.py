@@ -366,7 +366,11 @@ FROM docs d LEFT JOIN kw USING (ID_MOVIE) LEFT JOIN li USING (ID_MOVIE) LEFT JOI
   LEFT JOIN rating ON tconst = ID_IMDB LEFT JOIN customer ON c_custkey = d.ID_COLLECTION AND d.ID_COLLECTION <> 0
   LEFT JOIN collection_lang g ON g.ID_COLLECTION = d.ID_COLLECTION AND d.ID_COLLECTION <> 0"""))
 def _(spark, sf):
-    return documents.movie_documents(Catalogue(spark, sf), "fr").select(
+    return document_columns(documents.movie_documents(Catalogue(spark, sf), "fr"))
+
+
+def document_columns(docs):
+    return docs.select(
         "ID_MOVIE", "YEAR_RELEASE", "GENRES", "KEYWORDS", "LISTS", "CAST_TOP", "ART", "IMDB_RATING",
         "IMDB_RATING_ADJUSTED", "COLLECTION",
     )

@@ -1140,22 +1140,36 @@ supplied AS (SELECT user_id, value FROM events WHERE event_type <> 'error'
   QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
 SELECT last.*, value FROM last LEFT JOIN supplied USING (user_id)""")
 def _(spark, sf):
-    """Several batches, a compaction, more batches, then a run whose checkpoint was lost."""
+    """Three batches folded in the state store, the last one by a run whose checkpoint was lost."""
     events = read(spark, sf, "events").withColumn("value", F.when(c("event_type") != "error", c("value")))
-    root = scratch(spark)
-    keys, order, partial = ["user_id"], ["ts", "event_id"], ["value"]
+    return _streamed(spark, events, ["value"]).select("user_id", "event_id", "event_type", "value")
 
-    def run(checkpoint: str) -> None:
-        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in/*")
-        S.stream_upsert(stream, f"{root}/table", f"{root}/{checkpoint}", keys, order, partial)
 
+def _streamed(spark, events, partial=(), delete=None):
+    root, keys, order = scratch(spark), ["user_id"], ["ts", "event_id"]
+    table = S.streamed_table(spark, f"{root}/table", events.schema, keys, order, partial, buckets=16)
     for part in range(3):
         events.filter(c("event_id") % 3 == part).coalesce(1).write.parquet(f"{root}/in/{part}")
-        run("first" if part < 2 else "second")
-        if part == 0:
-            S.compact(spark, f"{root}/table", events.schema, keys, order, partial)
-    current = S.read_current(spark, f"{root}/table", events.schema, keys, order, partial)
-    return current.select("user_id", "event_id", "event_type", "value")
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in/*")
+        S.stream_upsert(stream, table, f"{root}/{'first' if part < 2 else 'second'}", keys, order, partial, delete)
+    return S.read_current(table, keys, events.columns, partial)
+
+
+@query("s1_stream_deletes", """
+WITH e AS (SELECT *, event_type = 'signup' AND value < 60 AS gone FROM events),
+last AS (SELECT user_id, event_id, event_type, gone FROM e
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1),
+deleted AS (SELECT user_id, ts AS d_ts, event_id AS d_id FROM e WHERE gone
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1),
+supplied AS (SELECT user_id, props FROM e LEFT JOIN deleted USING (user_id)
+  WHERE event_type = 'click' AND (d_ts IS NULL OR (ts, event_id) > (d_ts, d_id))
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
+SELECT user_id, event_id, event_type, props FROM last LEFT JOIN supplied USING (user_id) WHERE NOT gone""")
+def _(spark, sf):
+    """Some sign-ups count as deletes: they remove the user and all values before them."""
+    events = read(spark, sf, "events").withColumn("props", F.when(c("event_type") == "click", c("props")))
+    delete = (c("event_type") == "signup") & (c("value") < 60)
+    return _streamed(spark, events, ["props"], delete).select("user_id", "event_id", "event_type", "props")
 
 
 @query("s2_resume_from", """
