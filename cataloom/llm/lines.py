@@ -5,13 +5,14 @@ an earlier one (by ``doc_id``, then place) is within ``THRESHOLD`` edits of it,
 equal lines standing for all. Shorter lines are no matter for the edit join; with ``exact_chars`` they go when an
 earlier one equals them. Two lines within ``t`` edits share one of ``t + 1`` segments of the shorter,
 at a place that the edits before and after it allow: each line enters the index with its own segments and
-probes it with the substrings that can match a line up to ``t`` shorter. Pairs that meet and whose letter counts
-allow it are verified by a banded bit-parallel edit distance.
+probes it with the substrings that can match a line up to ``t`` shorter. Lines that meet another whose letter counts
+allow it are verified within their bucket by a banded bit-parallel edit distance, until each has one earlier partner.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +25,11 @@ from .workers import map_arrow
 
 THRESHOLD = 2
 MIN_CHARS = 20
-#: entries of a bucket that are compared at once; larger buckets are first dealt again by letter counts
+#: entries of a bucket that are compared at once; larger buckets are first dealt again by letter counts, then in pairs of blocks
 BUCKET = 4096
 FILTER_BITS = 1 << 21
+TOGETHER = 1 << 18  # characters of lines indexed or verified together
+_hash = xxhash.xxh3_64_intdigest
 WORD = r"[^\x20\x09-\x0D]"
 
 
@@ -53,23 +56,32 @@ def line_key(line: bytes) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def letter_counts(line: str) -> int:
-    """Counts of eight classes of characters, modulo 16, in 32 bits. An edit moves their sum of differences by 2 at most."""
-    codes = np.frombuffer(line.encode("utf-32-le"), "<u4")
-    counts = np.bincount(codes & 7, minlength=8) & 15
-    return int((counts << np.arange(0, 32, 4)).sum())
+def letter_counts(lines: list[str]) -> np.ndarray:
+    """Per line, counts of eight classes of characters, modulo 16, in 32 bits. An edit moves their sum of differences by 2 at most."""
+    codes = np.frombuffer("".join(lines).encode("utf-32-le"), "<u4")
+    owner = np.repeat(np.arange(len(lines)), [len(x) for x in lines])
+    counts = np.bincount(owner * 8 + (codes & 7), minlength=8 * len(lines)).reshape(-1, 8) & 15
+    return (counts << np.arange(0, 32, 4)).sum(axis=1)
 
 
-def keys_of(line: str, threshold: int) -> list[tuple[int, int]]:
-    """(key, 0 for an own segment or 1 for a probe only) of a line."""
-    out, n = [], len(line)
+@lru_cache(4096)
+def _places(n: int, threshold: int) -> tuple[list[tuple[int, int, int]], list[int]]:
+    """For lines of ``n`` characters: (first byte, end byte, seed) of every key, and 0 for an own segment or 1 for a probe only."""
+    places, kinds = [], []
     for extra in range(min(threshold, n) + 1):
         length = n - extra
         for i, (a, b) in enumerate(segment_bounds(length, threshold)):
             for at in probe_starts(i, a, b - a, extra, n, threshold):
-                key = xxhash.xxh64_intdigest(f"{length}/{i}/{line[at : at + b - a]}".encode())
-                out.append((key, int(extra > 0 or at != a)))
-    return out
+                places.append((4 * at, 4 * (at + b - a), length * 64 + i))
+                kinds.append(int(extra > 0 or at != a))
+    return places, kinds
+
+
+def keys_of(line: str, threshold: int) -> tuple[list[int], list[int]]:
+    """Keys of a line (its length, the number of the segment and its characters) and their kinds."""
+    places, kinds = _places(len(line), threshold)
+    raw = line.encode("utf-32-le")
+    return [_hash(raw[a:b], seed) for a, b, seed in places], kinds
 
 
 def edit_within(first: list[str], second: list[str], threshold: int) -> np.ndarray:
@@ -151,32 +163,28 @@ def _compatible(a: np.ndarray, b: np.ndarray, threshold: int) -> np.ndarray:
     return total <= 2 * threshold
 
 
-def _meet(lines: np.ndarray, counts: np.ndarray, kinds: np.ndarray, threshold: int) -> Iterator[tuple]:
-    """Pairs of different lines in one bucket, at least one of them by its own segment; of two blocks (kind from 2), across them."""
-    own, sides = np.flatnonzero((kinds & 1) == 0), kinds >> 1
-    for lo in range(0, len(lines), 1024):
+def _meets(counts: np.ndarray, kinds: np.ndarray, threshold: int) -> np.ndarray:
+    """Which lines of a bucket may be near another of it, at least one of the two by its own segment."""
+    out = np.zeros(len(counts), bool)
+    own = np.flatnonzero((kinds & 1) == 0)
+    for lo in range(0, len(counts), 1024):
         for at in range(0, len(own), 1024):
             some = own[at : at + 1024]
             fit = _compatible(counts[lo : lo + 1024], counts[some], threshold)
-            fit &= lines[lo : lo + 1024][:, None] != lines[some][None, :]
-            if sides.any():
-                fit &= sides[lo : lo + 1024][:, None] != sides[some][None, :]
-            p, q = np.nonzero(fit)
-            if len(p):
-                x, y = lines[lo + p], lines[some[q]]
-                yield np.minimum(x, y), np.maximum(x, y)
-
-
-def _buckets(threshold: int, limit: int | None):
-    """Pairs from rows sorted by (key, line). Buckets beyond ``limit`` lines come out again as rows."""
-    columns = ["a", "b", "heavy", "counts", "kind"]
-
-    def batch_of(a, b, heavy, counts, kind):
-        n = len(a)
-        full = lambda v, t: pa.array(np.full(n, v) if np.isscalar(v) else v, t)
+            fit &= np.arange(lo, min(lo + 1024, len(counts)))[:, None] != some[None, :]
+            out[lo : lo + 1024] |= fit.any(axis=1)
+            out[some] |= fit.any(axis=0)
+    return out
+
+
+def _buckets(threshold: int, limit: int):
+    """Lines that may have a partner, from rows sorted by (key, line). Of buckets beyond ``limit`` lines all rows come out, as heavy."""
+    columns = ["key", "line", "heavy", "counts", "kind"]
+
+    def batch_of(key, line, heavy, counts, kind):
         return pa.RecordBatch.from_arrays(
-            [full(a, pa.int64()), full(b, pa.int64()), full(heavy, pa.bool_()), full(counts, pa.int32()),
-             full(kind, pa.int8())], columns)
+            [pa.array(key, pa.int64()), pa.array(line, pa.int64()), pa.array(np.full(len(key), heavy)),
+             pa.array(counts, pa.int32()), pa.array(kind, pa.int8())], columns)
 
     def run(batches: Iterator[pa.RecordBatch]):
         held = None  # rows of the last key so far
@@ -202,7 +210,7 @@ def _buckets(threshold: int, limit: int | None):
             held = [x[starts[-1] :] for x in rows]
             if spilled is not None and keys[starts[-1]] != spilled:
                 spilled = None
-            if limit and len(held[0]) > limit:
+            if len(held[0]) > limit:
                 spilled = held[0][0]
                 yield batch_of(held[0][:-1], held[1][:-1], True, held[2][:-1], held[3][:-1])
                 held = [x[-1:] for x in held]  # kept to recognise the same line in the next batch
@@ -210,69 +218,117 @@ def _buckets(threshold: int, limit: int | None):
             yield from bucket(held, held[0][0] == spilled)
 
     def bucket(rows, was_heavy):
-        if limit and (was_heavy or len(rows[0]) > limit):
+        if was_heavy or len(rows[0]) > limit:
             yield batch_of(rows[0], rows[1], True, rows[2], rows[3])
         elif len(rows[0]) > 1:
-            for x, y in _meet(rows[1], rows[2], rows[3], threshold):
-                yield batch_of(x, y, False, 0, 0)
+            some = _meets(rows[2], rows[3], threshold)
+            if some.any():
+                yield batch_of(rows[0][some], rows[1][some], False, rows[2][some], rows[3][some])
 
     return run
 
 
-def _blocks(heavy: DataFrame) -> DataFrame:
-    """Rows of heavy buckets, dealt to every pair of blocks of lines: one task holds about ``BUCKET`` of them."""
-    sizes = heavy.groupBy("a").agg(F.ceil(F.count("*") / max(1, BUCKET // 2)).cast("int").alias("blocks"))
-    rows = heavy.join(sizes, "a").withColumn("own", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int"))
-    rows = rows.select("a", "b", "counts", "kind", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 2).otherwise(4)
-    return rows.select(
-        F.xxhash64("a", F.least("own", "other"), F.greatest("own", "other")).alias("key"), F.col("b").alias("line"), "counts",
-        (F.col("kind") + side).cast("byte").alias("kind"))
+def _dealt_again(heavy: DataFrame, threshold: int) -> DataFrame:
+    """``key``, ``line`` of heavy buckets, in smaller buckets that lines within ``threshold`` edits still share."""
+    groups = 2 * threshold + 1
+    if groups > 8:
+        return heavy.select("key", "line").distinct()  # too few classes of letters for that many groups
+    # 2t units of change leave one of 2t + 1 groups of letter classes as it is
+    masks = [sum(15 << (4 * k) for k in range(8) if k % groups == g) for g in range(groups)]
+    return heavy.select(
+        F.explode(F.array(*(F.xxhash64("key", F.lit(g), F.col("counts").cast("long").bitwiseAND(m)) for g, m in enumerate(masks)))).alias("key"),
+        "line").distinct()
+
+
+def _blocks(members: DataFrame) -> DataFrame:
+    """Members of buckets, dealt to every pair of blocks of theirs: ``block`` holds about ``BUCKET`` lines; ``side`` is 0 where the
+    block is one with itself, else 1 or 2."""
+    sizes = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select(
+        "key", F.ceil(F.col("n") / max(1, BUCKET // 2)).cast("int").alias("blocks"))
+    rows = members.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("line", F.lit(7)), F.col("blocks")).cast("int"))
+    rows = rows.select("key", "line", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
+    return rows.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("block"), "line", side.alias("side"))
+
+
+def _fits(a: np.ndarray, b: np.ndarray, threshold: int) -> np.ndarray:
+    """``_compatible`` pair by pair."""
+    total = np.zeros(len(a), np.int16)
+    for k in range(0, 32, 4):
+        d = np.abs(((a >> k) & 15).astype(np.int16) - ((b >> k) & 15).astype(np.int16))
+        total += np.minimum(d, 16 - d)
+    return total <= 2 * threshold
 
 
-def near_links(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
-    """Pairs (``x``, ``y``) of keys of different judged lines within ``threshold`` (0 to 31) edits, each pair once."""
+def _earlier(texts: list[str], sides: np.ndarray, starts: np.ndarray, threshold: int) -> np.ndarray:
+    """Which lines of whole blocks (``starts``: where each begins), in order within each, have a near one before them.
+
+    All lines that are still open are compared with the first line of their block, then with the second, and so on, the blocks
+    together; a line drops out with its first partner, so a group of near copies is done after one round.
+    """
+    counts = np.concatenate([letter_counts(texts[k : k + 4096]) for k in range(0, len(texts), 4096)])
+    found = np.zeros(len(texts), bool)
+    sizes = np.diff(np.r_[starts, len(texts)])
+    base = np.repeat(starts, sizes)
+    open_ = np.flatnonzero(np.arange(len(texts)) > base)
+    k = 0
+    while len(open_):
+        partner = base[open_] + k
+        fit = _fits(counts[partner], counts[open_], threshold)
+        fit &= (sides[partner] == 0) | (sides[partner] != sides[open_])
+        some, other = open_[fit], partner[fit]
+        if len(some):
+            near = edit_within([texts[i] for i in other], [texts[i] for i in some], threshold)
+            found[some[near]] = True
+        k += 1
+        open_ = open_[~found[open_] & (open_ > base[open_] + k)]
+    return found
+
+
+def near_lines(docs: DataFrame, first: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
+    """Keys (``line``) of the judged lines that are within ``threshold`` (0 to 31) edits of a different earlier line, each once.
+
+    ``first`` has the place (``first``) of each ``line``. Every line comes out at most once per block of a bucket it is in, never
+    once per partner.
+    """
     if not 0 <= threshold <= 31:
         raise ValueError(f"threshold {threshold}: the edit distance counts 0 to 31 edits")
     spark = docs.sparkSession
 
     def segments(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            lines = {line for text in batch.column(0).to_pylist() if text for line in text.split("\n")
-                     if len(line) >= min_chars}
-            keys, own, counts, kinds = [], [], [], []
+            lines = {line for text in batch.column(0).to_pylist() if text for line in text.split("\n") if len(line) >= min_chars}
+            some, size = [], 0
             for line in lines:
-                found = keys_of(line, threshold)
-                a, c = line_key(line.encode()), letter_counts(line)
-                keys += [k for k, _ in found]
-                kinds += [k for _, k in found]
-                own += [a] * len(found)
-                counts += [c] * len(found)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(own, pa.int64()),
-                 pa.array(np.array(counts, np.uint32).view(np.int32)), pa.array(kinds, pa.int8())], ["key", "line", "counts", "kind"])
+                some.append(line)
+                size += len(line)
+                if size > TOGETHER:
+                    yield indexed(some)
+                    some, size = [], 0
+            if some:
+                yield indexed(some)
+
+    def indexed(lines: list[str]) -> pa.RecordBatch:
+        keys, kinds, times = [], [], []
+        for line in lines:
+            found, kind = keys_of(line, threshold)
+            keys += found
+            kinds += kind
+            times.append(len(found))
+        own = np.repeat(np.array([line_key(x.encode()) for x in lines], np.int64), times)
+        counts = np.repeat(letter_counts(lines).astype(np.uint32).view(np.int32), times)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(own, pa.int64()),
+             pa.array(counts, pa.int32()), pa.array(np.array(kinds, np.int8))], ["key", "line", "counts", "kind"])
 
     rows = map_arrow(docs.select("text"), segments, "key long, line long, counts int, kind byte")
-    shape = "a long, b long, heavy boolean, counts int, kind byte"
     dealt = rows.repartition("key").sortWithinPartitions("key", "line", "kind")
-    met = stage(map_arrow(dealt, _buckets(threshold, BUCKET), shape).distinct())
-    if 2 * threshold + 1 <= 8:
-        # heavy buckets: 2t units of change leave one of 2t + 1 groups of letter classes as it is
-        groups = 2 * threshold + 1
-        masks = [sum(15 << (4 * k) for k in range(8) if k % groups == g) for g in range(groups)]
-        again = met.where("heavy").select(
-            F.explode(F.array(*(F.xxhash64("a", F.lit(g), F.col("counts").cast("long").bitwiseAND(m)) for g, m in enumerate(masks)))).alias("key"),
-            F.col("b").alias("line"), "counts", "kind")
-    else:
-        # too few classes for that many groups: all lines of the bucket are compared
-        again = _blocks(met.where("heavy"))
-    again = again.repartition("key").sortWithinPartitions("key", "line", "kind")
-    more = map_arrow(again, _buckets(threshold, None), shape)
-    pairs = stage(met.where("not heavy").select("a", "b").union(more.select("a", "b")).distinct())
+    met = stage(map_arrow(dealt, _buckets(threshold, BUCKET), "key long, line long, heavy boolean, counts int, kind byte"))
+    members = met.where("not heavy").select("key", "line").union(_dealt_again(met.where("heavy"), threshold))
+    members = stage(_blocks(members))
 
     # texts of lines that met: a filter of fixed size keeps most others from moving
-    met_lines = pairs.select(F.explode(F.array("a", "b")).alias("line"))
-    words = met_lines.select(F.pmod("line", F.lit(FILTER_BITS)).alias("bit")).groupBy(F.shiftright("bit", 6).alias("w")).agg(
+    words = members.select(F.pmod("line", F.lit(FILTER_BITS)).alias("bit")).groupBy(F.shiftright("bit", 6).alias("w")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).collect()
     bits = np.zeros(FILTER_BITS // 64, np.int64)
     for r in words:
@@ -294,17 +350,38 @@ def near_links(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN
 
     texts = map_arrow(docs.select("text"), wanted, "line long, words string").groupBy("line").agg(
         F.first("words").alias("words"))
-    texts = stage(texts)
-    both = pairs.join(texts.select(F.col("line").alias("a"), F.col("words").alias("p")), "a").join(
-        texts.select(F.col("line").alias("b"), F.col("words").alias("q")), "b")
+    # only lines that met are looked up, and each line's text joins its blocks
+    texts = stage(texts.join(members.select("line").distinct(), "line", "left_semi").join(first.select("line", "first"), "line"))
+    both = members.join(texts, "line").select("block", "first", "line", "side", "words")
+    # sizes in bytes say little about this work: it is not packed into fewer tasks
+    both = both.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").sortWithinPartitions("block", "first").select("block", "line", "side", "words")
 
     def verified(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
-            near = edit_within(batch.column(2).to_pylist(), batch.column(3).to_pylist(), threshold)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).filter(pa.array(near)), batch.column(1).filter(pa.array(near))], ["x", "y"])
+        block, size = None, 0
+        lines, sides, texts, starts = [], [], [], []
 
-    return map_arrow(both.select("a", "b", "p", "q"), verified, "x long, y long")
+        def close():
+            late = _earlier(texts, np.array(sides), np.array(starts), threshold)
+            return pa.RecordBatch.from_arrays([pa.array(np.array(lines, np.int64)[late])], ["line"])
+
+        for batch in batches:
+            for b, line, side, text in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                if b != block:
+                    if size > TOGETHER:
+                        yield close()
+                        lines, sides, texts, starts, size = [], [], [], [], 0
+                    block = b
+                    starts.append(len(lines))
+                elif line == lines[-1]:
+                    continue
+                lines.append(line)
+                sides.append(side)
+                texts.append(text)
+                size += len(text)
+        if lines:
+            yield close()
+
+    return map_arrow(both, verified, "line long").distinct()
 
 
 def judged_lines(docs: DataFrame, min_chars: int = MIN_CHARS, exact_chars: int | None = None) -> DataFrame:
@@ -321,17 +398,11 @@ def repeated_lines(
     docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS, exact_chars: int | None = None,
 ) -> DataFrame:
     """The judged lines that have an earlier equal or near one: ``doc_id``, ``twin``, ``line_no``."""
-    links = near_links(docs, threshold, min_chars)
     lines = stage(judged_lines(docs, min_chars, exact_chars))
-    first = lines.groupBy("line").agg(
-        F.min(F.struct("doc_id", "twin", "line_no")).alias("first"), F.count("*").alias("n"))
-    at = stage(first)
-    x = at.select(F.col("line").alias("x"), F.col("first").alias("fx"))
-    y = at.select(F.col("line").alias("y"), F.col("first").alias("fy"))
-    late = links.join(x, "x").join(y, "y").select(
-        F.when(F.col("fx") < F.col("fy"), F.col("y")).otherwise(F.col("x")).alias("line")).distinct()
+    at = stage(lines.groupBy("line").agg(F.min(F.struct("doc_id", "twin", "line_no")).alias("first"), F.count("*").alias("n")))
+    late = near_lines(docs, at, threshold, min_chars).withColumn("near", F.lit(True))
     # all copies of a line with an earlier near one go; of others, all but the first
-    marked = at.join(late.withColumn("near", F.lit(True)), "line", "left").where("n > 1 or near")
+    marked = at.join(late, "line", "left").where("n > 1 or near")
     return lines.join(marked, "line").where(
         F.coalesce("near", F.lit(False)) | (F.struct("doc_id", "twin", "line_no") > F.col("first"))
     ).select("doc_id", "twin", "line_no")

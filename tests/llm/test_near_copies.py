@@ -50,9 +50,9 @@ def test_edit_distance_and_segments(threshold):
         assert found == (edits(a, b) <= threshold)
         if found and a != b and min(len(a), len(b)) > threshold:
             x, y = lines.keys_of(a, threshold), lines.keys_of(b, threshold)
-            own = lambda keys: {k for k, kind in keys if kind == 0}
-            assert {k for k, _ in x} & own(y) or {k for k, _ in y} & own(x)
-            letters = [np.array([lines.letter_counts(s)]) for s in (a, b)]
+            own = lambda keys: {k for k, kind in zip(*keys, strict=True) if kind == 0}
+            assert set(x[0]) & own(y) or set(y[0]) & own(x)
+            letters = [lines.letter_counts([s]) for s in (a, b)]
             assert lines._compatible(*letters, threshold).all()
 
 
@@ -141,7 +141,7 @@ def test_heavy_buckets_lose_no_line_at_a_batch_edge(size):
         ["key", "line", "counts", "kind"]) for at in range(0, len(rows), size)]
     out = [r for b in lines._buckets(2, 2)(iter(batches)) for r in b.to_pylist()]
     members = Counter(key for key, _ in {r[:2] for r in rows})
-    heavy = sorted((r["a"], r["b"]) for r in out if r["heavy"])
+    heavy = sorted((r["key"], r["line"]) for r in out if r["heavy"])
     assert heavy == sorted({r[:2] for r in rows if members[r[0]] > 2})
 
 
@@ -153,6 +153,25 @@ def test_heavy_buckets_are_compared_at_every_threshold(make_docs, same_rows, mon
     same_rows(got, dedup_brute(rows, 4, lines.MIN_CHARS))
 
 
+@pytest.mark.parametrize(("bucket", "batch"), [(4096, "10000"), (40, "7")])
+def test_a_large_group_of_near_lines(spark, make_docs, same_rows, monkeypatch, bucket, batch):
+    """Hundreds of lines near one another: each finds one earlier partner, and no pairs are made."""
+    monkeypatch.setattr(lines, "BUCKET", bucket)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    rng = random.Random(13)
+    base = "a line that many documents carry with a small change"
+    rows = [(k, changed(rng, base, 2) + "\n" + "".join(rng.choice("abcdefgh ") for _ in range(40))) for k in range(300)]
+    try:
+        docs = make_docs(rows)
+        same_rows(lines.dedup_lines(docs).select("doc_id", "text").collect(), dedup_brute(rows, lines.THRESHOLD, lines.MIN_CHARS))
+        judged = lines.judged_lines(docs)
+        first = judged.groupBy("line").agg(F.min(F.struct("doc_id", "twin", "line_no")).alias("first"))
+        found = [r.line for r in lines.near_lines(docs, first).collect()]
+        assert len(found) == len(set(found)) < judged.select("line").distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_thresholds_beyond_the_edit_distance_are_refused(empty):
     with pytest.raises(ValueError):
         lines.dedup_lines(empty, 32)
