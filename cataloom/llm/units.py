@@ -16,7 +16,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 
-from .words import _BACK, _BYTE, _IN_WORD, _STEP, _power, bytes_of, mix
+from .words import _IN_WORD, bytes_of, span_hashes
 
 CHUNK = 1 << 21  # bytes looked up at a time
 LONG = 1 << 22
@@ -91,10 +91,7 @@ class UnitTable:
 
     def _find(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """The entry of each unit, after encoding those not met before."""
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTE[data] * _power(_STEP, len(data)), out=sums[1:])
-        value = (sums[end] - sums[start]) * _power(_BACK, len(data))[start]
-        value = mix(value + (end - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        value = span_hashes(data, start, end)
         keys, first, where = np.unique(value, return_index=True, return_inverse=True)
         if len(self.keys) > UNITS_KEPT or self.used > IDS_KEPT:
             self._clear()

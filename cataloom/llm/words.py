@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 CHUNK = 1 << 20  # bytes hashed at a time; a longer word gets a longer chunk
+PLAIN = 32
 
 _rng = np.random.Generator(np.random.PCG64(20240917))
 _BYTE = _rng.integers(0, 1 << 64, 256, np.uint64, endpoint=False)
@@ -54,6 +56,21 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[at[0] : at[-1]], at - at[0]
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of the bytes of each span. Up to ``PLAIN`` bytes a polynomial sum tells spans apart; sums modulo 2 ** 64 of longer
+    ones can agree by the structure of the text alone, whatever the base, so these are hashed byte by byte."""
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * _power(_STEP, len(data)), out=sums[1:])
+    value = (sums[end] - sums[start]) * _power(_BACK, len(data))[start]
+    value = mix(value + (end - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    long = np.flatnonzero(end - start > PLAIN)
+    if len(long):
+        raw = memoryview(np.ascontiguousarray(data))
+        value[long] = np.array(
+            [xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(start[long].tolist(), end[long].tolist(), strict=True)], np.uint64)
+    return value
+
+
 def word_hashes(column: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """(row of each word, hash of each word), in order."""
     data, rows = bytes_of(column)
@@ -71,10 +88,7 @@ def word_hashes(column: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.nd
         last[bounds - 1] = inside[bounds - 1]
         start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
         if len(start):
-            sums = np.zeros(len(part) + 1, np.uint64)
-            np.cumsum(_BYTE[_LOWER[part] if lower else part] * _power(_STEP, len(part)), out=sums[1:])
-            value = (sums[end] - sums[start]) * _power(_BACK, len(part))[start]
-            found.append(mix(value + (end - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+            found.append(span_hashes(_LOWER[part] if lower else part, start, end))
             found_rows.append(np.searchsorted(rows, start + lo, "right") - 1)
         lo = hi
     return np.concatenate(found_rows), np.concatenate(found)

@@ -30,6 +30,14 @@ def odd_rows():
     rows += [(20 + k, text(rng.randint(1, 8), rng.randint(5, 60))) for k in range(40)]
     rows += [(70, "x" * 70_000), (71, line(30_000)), (72, ("same words again " * 3000).strip()), (73, "日本語 " * 500)]
     rows += [(80, "<|endoftext|> a <|endoftext|>b  <|startoftext|>"), (81, "it's we'll 12345 ½ !!! don't"), (82, "\U0001f600 é á")]
+    # a Thue-Morse word and its complement: polynomial sums modulo 2 ** 64 take them as equal
+    thue = "".join("az"[bin(k).count("1") & 1] for k in range(2048))
+    rows += [(83, thue), (84, thue.translate({97: 122, 122: 97})), (85, f"one {thue} two"), (86, f"one {thue.translate({97: 122, 122: 97})} two")]
+    # a text without an id is near two that are not near each other
+    chain = [w + str(k) for k, w in enumerate(line(400).split())]
+    links = [" ".join([*chain[:k], "new", *chain[k + 1 :]]) for k in (0,)]
+    rows += [(60, " ".join(chain)), (None, " ".join(chain[20:])), (61, " ".join(chain[40:] + ["end"] * 1)), (62, links[0])]
+    rows += [(63, " ".join(chain[75:]))]
     rows += [(90, base), (90, base), (None, base), (None, "a text without an id " + line(30))]
     return rows
 
