@@ -381,16 +381,16 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -
     """
     rows = stage(sizes(docs, size))
     nodes = stage(rows.where("n > 0").groupBy("node").agg(F.min("doc_id").cast("long").alias("first")))
-    first = lambda s: nodes.select(F.col("node").alias(s), F.col("first").alias(f"f{s}"))
-    links = set_links(docs, size, percent).join(first("x"), "x").join(first("y"), "y")
     # documents whose id occurs with several texts connect those texts
     twice = rows.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(
-        F.min("node").alias("a"), F.max("node").alias("b")).where("a != b").select("doc_id")
-    same = rows.where("n > 0").join(twice, "doc_id", "left_semi").join(nodes, "node").select(
-        F.col("doc_id").cast("long").alias("u"), F.col("first").alias("v"))
-    found = components(links.select(F.col("fx").alias("u"), F.col("fy").alias("v")).union(same))
-    named = nodes.join(found.select(F.col("node").alias("first"), "component"), "first", "left")
-    named = named.select("node", F.coalesce("component", "first").alias("component_id"))
+        F.min("node").alias("a"), F.max("node").alias("b")).where("a != b").select("doc_id", "a")
+    same = rows.where("n > 0").join(twice, "doc_id").select(F.col("node").alias("u"), F.col("a").alias("v"))
+    # whole sets are connected, with an id or without; a component is then named by its smallest id
+    found = components(set_links(docs, size, percent).select(F.col("x").alias("u"), F.col("y").alias("v")).union(same))
+    found = stage(found.join(nodes, "node"))
+    names = found.groupBy("component").agg(F.min("first").alias("component_id"))
+    found = found.select("node", "component").join(names, "component").select("node", "component_id")
+    named = nodes.join(found, "node", "left").select("node", F.coalesce("component_id", "first").alias("component_id"))
     full = rows.where("n > 0").join(named, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     empty = rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").cast("long").alias("component_id"))
     return full.union(empty)
