@@ -76,7 +76,8 @@ def shard_by_bytes(
     records = records.withColumn("range", range_of(F.col("key"), cuts))
     keys = records.groupBy("range", "key").agg(F.sum("size").alias("bytes"))
     range_bytes = keys.groupBy("range").agg(F.sum("bytes").alias("range_bytes"))
-    heavy = keys.where(F.col("bytes") > cell).select(
+    # a group up to the largest document lies whole in its cell: places are no coarser than that anyhow
+    heavy = keys.where(F.col("bytes") > max(cell, largest)).select(
         F.col("key").alias("heavy_key"), F.ceil(F.col("bytes") / cell).cast("int").alias("parts"))
     celled = (
         records.join(F.broadcast(range_bytes), "range")  # as many rows as there are ranges

@@ -112,6 +112,20 @@ def test_shards_with_a_hot_text(make_docs):
     assert sum(len(v) > 1 for v in of.values()) <= 16  # only groups at a border, or too large, are split
 
 
+def test_groups_up_to_the_largest_document_share_a_shard(make_docs):
+    rng = random.Random(5)
+    texts = [f"{k} " + "".join(rng.choice("abcdef") for _ in range(700)) for k in range(60)]
+    rows = [(10 * k + j, t) for k, t in enumerate(texts) for j in range(10)] + [(5000, "y" * 60_000)]
+    rows += [(6000 + k, "z" * rng.randint(0, 900)) for k in range(500)]
+    found = shards.shard_by_bytes(make_docs(rows), 24).collect()
+    check_shards(found, sizes_of(rows), 24, 3)
+    of, size = defaultdict(set), Counter()
+    for r in found:
+        of[r.text_crc32].add(r.shard)
+        size[r.text_crc32] += r.size
+    assert all(len(v) == 1 for k, v in of.items() if size[k] <= 60_008)
+
+
 def test_shards_of_no_documents(empty):
     assert shards.shard_by_bytes(empty, 4).collect() == []
 
