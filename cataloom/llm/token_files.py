@@ -90,17 +90,16 @@ def write_tokens(docs: DataFrame, path: str, end_id: int, folder: str, block_ids
 
     def blocks(batches: Iterator[pa.RecordBatch]):
         names = [f.split()[0] for f in BLOCKS.format(type="long").split(", ")]
-        part, block, first, held = None, 0, 0, []
+        part, block, first, held, n_ids = None, 0, 0, [], 0
 
         def close():
-            nonlocal block, first, held
-            n_ids = sum(n for _, n, _ in held)
+            nonlocal block, first, held, n_ids
             if width % 8:
                 payload = pack(np.concatenate([unpack(p, width, n) for _, n, p in held]), width)
             else:
                 payload = b"".join([p for _, _, p in held])
             values = (part, block, first, n_ids, width, payload, [d for d, _, _ in held], [n for _, n, _ in held])
-            block, first, held = block + 1, first + n_ids, []
+            block, first, held, n_ids = block + 1, first + n_ids, [], 0
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types, strict=True)], names)
 
         types = None
@@ -110,11 +109,12 @@ def write_tokens(docs: DataFrame, path: str, end_id: int, folder: str, block_ids
                          pa.list_(batch.schema.field("doc_id").type), pa.list_(pa.int64())]
             columns = (batch.column(k).to_pylist() for k in range(4))
             for p, doc_id, n, packed in zip(*columns, strict=True):
-                if held and (p != part or sum(x[1] for x in held) + n > block_ids):
+                if held and (p != part or n_ids + n > block_ids):
                     yield close()
                 if p != part:
                     part, block, first = p, 0, 0
                 held.append((doc_id, n, packed))
+                n_ids += n
         if held:
             yield close()
 
