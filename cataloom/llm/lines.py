@@ -178,7 +178,7 @@ def _meets(counts: np.ndarray, kinds: np.ndarray, threshold: int) -> np.ndarray:
 
 
 def _buckets(threshold: int, limit: int):
-    """Lines that may have a partner, from rows sorted by (key, line). Of buckets beyond ``limit`` lines all rows come out, as heavy."""
+    """Lines that may have a partner, from rows sorted by key. Of buckets beyond ``limit`` lines all rows come out, as heavy."""
     columns = ["key", "line", "heavy", "counts", "kind"]
 
     def batch_of(key, line, heavy, counts, kind):
@@ -195,6 +195,8 @@ def _buckets(threshold: int, limit: int):
                 continue
             if held is not None:
                 rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
+            order = np.lexsort((rows[3], rows[1], rows[0]))
+            rows = [x[order] for x in rows]
             keys = rows[0]
             # the same line once per bucket, by its own segment if it has one there
             fresh = np.r_[True, (keys[1:] != keys[:-1]) | (rows[1][1:] != rows[1][:-1])]
@@ -212,8 +214,9 @@ def _buckets(threshold: int, limit: int):
                 spilled = None
             if len(held[0]) > limit:
                 spilled = held[0][0]
+                # a line may come out once more with a later batch; heavy rows are made distinct after this
                 yield batch_of(held[0][:-1], held[1][:-1], True, held[2][:-1], held[3][:-1])
-                held = [x[-1:] for x in held]  # kept to recognise the same line in the next batch
+                held = [x[-1:] for x in held]  # kept so that the next batch is known to go on with this key
         if held is not None:
             yield from bucket(held, held[0][0] == spilled)
 
@@ -322,7 +325,8 @@ def near_lines(docs: DataFrame, first: DataFrame, threshold: int = THRESHOLD, mi
              pa.array(counts, pa.int32()), pa.array(np.array(kinds, np.int8))], ["key", "line", "counts", "kind"])
 
     rows = map_arrow(docs.select("text"), segments, "key long, line long, counts int, kind byte")
-    dealt = rows.repartition("key").sortWithinPartitions("key", "line", "kind")
+    # one sort column: Spark sorts by radix; the few rows of a key are put in order where they are compared
+    dealt = rows.repartition("key").sortWithinPartitions("key")
     met = stage(map_arrow(dealt, _buckets(threshold, BUCKET), "key long, line long, heavy boolean, counts int, kind byte"))
     members = met.where("not heavy").select("key", "line").union(_dealt_again(met.where("heavy"), threshold))
     members = stage(_blocks(members))
