@@ -739,6 +739,16 @@ def _(spark, sf):
     return R.forward_fill(rows, ["user_id"], "event_id", "value", 0.0, width=1000)
 
 
+@query("w1_forward_fill_hashed", """
+SELECT event_type, md5(CAST(event_id AS VARCHAR)) AS place, coalesce(last_value(CASE WHEN user_id % 3 = 0 THEN value END IGNORE NULLS)
+  OVER (PARTITION BY event_type ORDER BY md5(CAST(event_id AS VARCHAR))), 0.0) AS value FROM events""")
+def _(spark, sf):
+    place = F.md5(c("event_id").cast("string")).alias("place")
+    known = F.when(c("user_id") % 3 == 0, c("value")).alias("value")
+    rows = read(spark, sf, "events").select("event_type", place, known)
+    return R.forward_fill(rows, ["event_type"], "place", "value", 0.0, width=1000)
+
+
 @query("w2_first_position", """
 SELECT l_orderkey, l_linestatus, l_suppkey, l_linenumber, l_partkey, l_extendedprice,
   min(l_linenumber) OVER (PARTITION BY l_orderkey, l_linestatus, l_suppkey) AS DISPLAY_ORDER FROM lineitem""")

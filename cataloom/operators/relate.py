@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -89,8 +91,44 @@ def credit_rows(credits: DataFrame, persons: DataFrame, aliases: DataFrame) -> D
 # --- ordered scans over groups of any size ----------------------------------
 
 
-def _sliced(df: DataFrame, order: str, width: int) -> DataFrame:
-    return df.withColumn("_slice", F.floor(F.col(order) / width))
+def _range_at(order: Column, marks: Column) -> Column:
+    """How many of the sorted ``marks`` lie at or below ``order``, by halving; 0 without marks."""
+    size = F.size(marks)
+    rounds = F.sequence(F.lit(1), F.ceil(F.log2(size + 1)).cast("int"))
+    start = F.struct(F.lit(0).alias("low"), size.alias("high"))
+
+    def halve(s: Column, _: Column) -> Column:
+        middle = ((s["low"] + s["high"]) / 2).cast("int")
+        below = (s["low"] < s["high"]) & (F.get(marks, middle) <= order)
+        return F.struct(
+            F.when(below, middle + 1).otherwise(s["low"]).alias("low"),
+            F.when(below, s["high"]).otherwise(middle).alias("high"),
+        )
+
+    found = F.aggregate(rounds, start, halve, lambda s: s["low"])
+    return F.when(marks.isNotNull() & order.isNotNull(), found).otherwise(0)
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on keys of which null is one like any other."""
+    named = right.select(
+        *[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)], *[c for c in right.columns if c not in keys]
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)]
+    return left.join(named, reduce(and_, same, F.lit(True)), how).drop(*named.columns[: len(keys)])
+
+
+def _sliced(df: DataFrame, keys: Sequence[str], order: str, width: int) -> DataFrame:
+    """Rows with ``_slice``, the range of the order that they fall into within their key.
+
+    The rows whose hash is a multiple of ``width`` bound the ranges, so a key has one bound for every ``width`` rows on
+    average, wherever its order values lie, and most keys have none.  The draw is a function of the row: a task that
+    runs again cuts at the same places.
+    """
+    drawn = F.col(order).isNotNull() & (F.pmod(F.xxhash64(*keys, order), F.lit(width)) == 0)
+    bounds = df.filter(drawn).groupBy(*keys).agg(F.array_sort(F.collect_set(order)).alias("_marks"))
+    rows = join_null_safe(df, bounds, keys, "left")
+    return rows.withColumn("_slice", _range_at(F.col(order), F.col("_marks"))).drop("_marks")
 
 
 def running_total(
@@ -98,11 +136,11 @@ def running_total(
 ) -> DataFrame:
     """Sum of ``amount`` over the earlier rows of the key (0 on the first row).
 
-    ``order`` is a whole number, unique per key.  Groups are cut into slices of
-    ``width`` order values, so a task holds one slice of a key and never a whole
-    hot key; the totals of the slices before it are added on.
+    ``order`` is any sortable column, unique per key; a null comes first.  Groups
+    are cut into ranges of about ``width`` rows, so a task holds one range of a
+    key and never a whole hot key; the totals of the ranges before it are added on.
     """
-    rows = _sliced(df.withColumn("_amount", amount), order, width)
+    rows = _sliced(df.withColumn("_amount", amount), keys, order, width)
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     slices = rows.groupBy(*keys, "_slice").agg(F.sum("_amount").alias("_sum"))
     slices = slices.select(*keys, "_slice", F.sum("_sum").over(earlier).alias("_carry"))
@@ -110,9 +148,9 @@ def running_total(
         Window.partitionBy(*keys, "_slice").orderBy(order)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    rows = rows.join(slices, [*keys, "_slice"])
+    rows = join_null_safe(rows, slices, [*keys, "_slice"], "inner")
     total = F.coalesce(F.sum("_amount").over(inside), F.lit(0)) + F.coalesce("_carry", F.lit(0))
-    return rows.withColumn(out, total).drop("_amount", "_slice", "_carry")
+    return rows.withColumn(out, total).select(*df.columns, out)
 
 
 def forward_fill(
@@ -120,11 +158,12 @@ def forward_fill(
 ) -> DataFrame:
     """Replace nulls by the last earlier value of the key, or by ``default``.
 
-    Sliced like ``running_total``: each slice takes over the last value of the
-    slices before it.
+    Cut into ranges like ``running_total``: each range takes over the last value
+    of the ranges before it.
     """
-    rows = _sliced(df, order, width)
-    known = F.when(F.col(column).isNotNull(), F.col(order))
+    rows = _sliced(df, keys, order, width)
+    place = F.struct(F.col(order).isNotNull(), order)  # a null order comes first
+    known = F.when(F.col(column).isNotNull(), place)
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     slices = rows.groupBy(*keys, "_slice").agg(F.max_by(column, known).alias("_last"))
     carry = F.last("_last", ignorenulls=True).over(earlier).alias("_carry")
@@ -133,7 +172,7 @@ def forward_fill(
         Window.partitionBy(*keys, "_slice").orderBy(order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    rows = rows.join(slices, [*keys, "_slice"])
+    rows = join_null_safe(rows, slices, [*keys, "_slice"], "inner")
     filled = F.coalesce(F.last(column, ignorenulls=True).over(inside), "_carry", F.lit(default))
     return rows.withColumn(column, filled).select(*df.columns)
 

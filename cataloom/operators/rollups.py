@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import values as V
 from ..functions.columns import alias_words, flag, literal_map, present, text_or_empty, word_count
-from .relate import flag_exists, members, top_n, with_labels
+from .relate import flag_exists, join_null_safe, members, top_n, with_labels
 
 
 def member_counts(
@@ -167,13 +167,14 @@ def department_rules() -> list[DepartmentRule]:
 
 
 def department_credits(
-    crew: DataFrame, keys: Sequence[str], order: Sequence[str], rules: Sequence[DepartmentRule]
+    crew: DataFrame, keys: Sequence[str], order: Sequence[str], rules: Sequence[DepartmentRule], ahead: int = 64
 ) -> DataFrame:
     """Crew names per key and list: skip repeats and names that do not fit, up to a cap.
 
-    Exact and bounded: a name is needed once per list, and of the names of one
-    length only as many as can be accepted or blocked before the budget closes
-    for that length, so a hot key never collects more than that.  ``picks`` holds
+    Exact and bounded: a name is needed once per list.  The first ``ahead`` names of a list are walked; where they
+    reach the cap, or leave no room for the shortest name after them, the list is closed.  Only lists still open walk
+    on, over the later names that fit the room left.  Of those of one length only as many are kept as can be accepted
+    or blocked before the budget closes for that length, so a hot key never collects more than that.  ``picks`` holds
     the accepted rows: the order columns and ``ID_PERSON``.
     """
     named = {r.department for r in rules if r.department}
@@ -197,18 +198,18 @@ def department_credits(
     rows = rows.groupBy(*group, "NAME").agg(first)
     rows = rows.withColumn("_chars", F.length("NAME"))
     rows = rows.filter(F.col("_chars") + 2 <= by_rule(lambda r: r.max_chars))
+    rows = rows.withColumn("_item", F.struct("_row", "NAME")).drop("_row", "NAME")
+
     def needed(r: DepartmentRule) -> int:
         return r.cap + r.max_chars // 2 + 1
 
-    rows = top_n(rows, [*group, "_chars"], ["_row", "NAME"], max(map(needed, rules)), "_rank")
-    rows = rows.filter(F.col("_rank") <= by_rule(needed))
+    def listed(df: DataFrame, *more: Column) -> DataFrame:
+        lists = df.groupBy(*group).agg(F.array_sort(F.collect_list("_item")).alias("_items"), *more)
+        return lists.withColumns({
+            "_cap": by_rule(lambda r: r.cap), "_max": by_rule(lambda r: r.max_chars), "_full": by_rule(lambda r: r.alias_budget),
+        })
 
-    item = F.struct("_row", "NAME")
-    walk = rows.groupBy(*group).agg(F.array_sort(F.collect_list(item)).alias("_items"))
-    walk = walk.withColumn("_cap", by_rule(lambda r: r.cap))
-    walk = walk.withColumn("_max", by_rule(lambda r: r.max_chars))
-    walk = walk.withColumn("_full", by_rule(lambda r: r.alias_budget))
-    pick_type = rows.schema["_row"].dataType.simpleString()
+    pick_type = rows.schema["_item"].dataType["_row"].dataType.simpleString()
     start = F.struct(
         F.lit("").alias("text"),
         F.lit(0).alias("used"),
@@ -232,7 +233,22 @@ def department_credits(
         # the cheap tests come first; a full list is left alone
         return F.when((F.size(s["picks"]) < F.col("_cap")) & fits & ~known, grown).otherwise(s)
 
-    walk = walk.withColumn("_end", F.aggregate("_items", start, step))
+    heads = top_n(rows, group, ["_item"], ahead, "_pos")
+    begun = listed(heads, F.max("_item").alias("_reached"))
+    begun = begun.withColumn("_begun", F.aggregate("_items", start, step))
+
+    # what is left of the lists that the first names did not close
+    room = F.col("_max") - F.col("_begun")["used"] - 2
+    unfilled = F.size(F.col("_begun")["picks"]) < F.col("_cap")
+    still_open = begun.filter((F.size("_items") == ahead) & unfilled & (room > 0))
+    later = join_null_safe(rows, still_open.select(*group, "_reached", room.alias("_room")), group, "inner")
+    later = later.filter((F.col("_item") > F.col("_reached")) & (F.col("_chars") <= F.col("_room")))
+    later = top_n(later, [*group, "_chars"], ["_item"], max(map(needed, rules)), "_rank")
+    later = listed(later.filter(F.col("_rank") <= by_rule(needed))).select(*group, F.col("_items").alias("_later"))
+
+    walk = join_null_safe(begun.select(*group, "_begun", "_cap", "_max", "_full"), later, group, "left")
+    ended = F.aggregate("_later", F.col("_begun"), step)
+    walk = walk.withColumn("_end", F.when(F.col("_later").isNull(), F.col("_begun")).otherwise(ended))
     return walk.select(
         *group, F.col("_end")["text"].alias("names"), F.col("_end")["picks"].alias("picks")
     ).filter(F.col("names") != "")

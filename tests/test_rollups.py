@@ -100,7 +100,8 @@ def loop_department(items, cap, limit):
     return text, picks
 
 
-def test_department_credits_matches_loop(spark):
+@pytest.mark.parametrize("ahead", [1, 4, 64])
+def test_department_credits_matches_loop(spark, ahead):
     rng = random.Random(5)
     names = ["a", "ab", "abc", "a, b", "b", "bb", "x" * 30, "y" * 31, "z" * 60, "Ann", "Anna"] + [f"p{i:02d}" for i in range(30)]
     data = [
@@ -114,7 +115,7 @@ def test_department_credits_matches_loop(spark):
         A.DepartmentRule("DIRECTORS", "Directing", "Director", max_chars=60),
         A.DepartmentRule("OTHER", None, max_chars=100, cap=5),
     ]
-    got = {(r.g, r.list): (r.names, [p.i for p in r.picks]) for r in A.department_credits(crew, ["g"], ["i"], rules).collect()}
+    got = {(r.g, r.list): (r.names, [p.i for p in r.picks]) for r in A.department_credits(crew, ["g"], ["i"], rules, ahead).collect()}
     for rule in rules:
         for g in range(50):
             items = [
@@ -177,6 +178,28 @@ def test_ordered_scans_match_loop(spark, width):
             total += i
 
 
+def test_ranges_of_a_hot_key_stay_small(spark):
+    # sparse 64-bit order values: one key holds nearly all rows
+    rows = spark.range(20_000).select(
+        F.when(F.col("id") < 19_000, 1).otherwise(F.col("id")).alias("g"), F.xxhash64("id").alias("o"), "id")
+    sizes = R._sliced(rows, ["g"], "o", 100).groupBy("g", "_slice").count()
+    hot = [r["count"] for r in sizes.filter("g = 1").collect()]
+    assert sum(hot) == 19_000 and 100 < len(hot) < 300 and max(hot) < 2_000
+
+
+def test_ordered_scans_take_text_and_nulls(spark):
+    data = [(None, f"k{i:03d}", i if i % 3 else None) for i in range(60)] + [(1, None, 5), (1, "a", None), (1, "b", None)]
+    df = spark.createDataFrame(data, "g long, o string, v long")
+    filled = {(r.g, r.o): r.v for r in R.forward_fill(df, ["g"], "o", "v", 0, 2).collect()}
+    totals = {(r.g, r.o): r.t for r in R.running_total(df, ["g"], "o", F.lit(1), "t", 2).collect()}
+    assert [filled[(None, f"k{i:03d}")] for i in range(60)] == [0 if i == 0 else i if i % 3 else i - 1 for i in range(60)]
+    assert [totals[(None, f"k{i:03d}")] for i in range(60)] == list(range(60))
+    assert [filled[(1, o)] for o in (None, "a", "b")] == [5, 5, 5]
+    assert [totals[(1, o)] for o in (None, "a", "b")] == [0, 1, 2]
+    empty = df.limit(0)
+    assert R.forward_fill(empty, ["g"], "o", "v", 0).count() == R.running_total(empty, ["g"], "o", F.lit(1), "t").count() == 0
+
+
 def test_lookup_ci(spark, rows_of):
     dim = spark.createDataFrame([(1, "Dolby"), (2, "dolby"), (3, "mono"), (4, ""), (5, "mono")], "ID long, N string")
     values = spark.createDataFrame([("Dolby",), ("DOLBY",), ("MONO",), ("mono",), ("x",), ("",)], "v string")
