@@ -12,6 +12,7 @@ from ..functions import values as V
 from ..operators import changes as U
 from ..operators import relate as R
 from ..operators import rollups as A
+from ..operators import tagging as T
 from ..plans.documents import lemma_bridge
 from ..plans.publish import publish_columns
 from ..sources import payloads, tables
@@ -939,6 +940,35 @@ def _format_query(name: str, columns: list[str]) -> None:
 
 
 _format_query("f2_technology_tags", ["COLOR_TECHNOLOGY", "FILM_TECHNOLOGY", "SOUND_TECHNOLOGY"])
+_TECHNOLOGIES = {
+    tag: [v for d in (V.COLOR_TECHNOLOGIES, V.FILM_TECHNOLOGIES, V.SOUND_TECHNOLOGIES) for v in d.get(tag, [])]
+    for tag in sorted({*V.COLOR_TECHNOLOGIES, *V.FILM_TECHNOLOGIES, *V.SOUND_TECHNOLOGIES})
+}
+
+
+@query("f2_dictionary_technologies", f"WITH {_LINES} SELECT doc_id, pos, {tags_sql('l', _TECHNOLOGIES)} AS TAGS FROM lines")
+def _(spark, sf):
+    entries = [(tag, v) for tag, variants in _TECHNOLOGIES.items() for v in variants]
+    entries = spark.createDataFrame(entries, "tag string, variant string")
+    return T.dictionary_tags(_format_lines(spark, sf), ["doc_id", "pos"], "l", entries, "tag", "variant")
+
+
+@query("f2_dictionary_of_parts", """
+WITH d AS (SELECT DISTINCT p_type || ' ' || p_size AS tag, p_partkey || ' ' || p_name AS variant FROM part),
+t AS (SELECT l_orderkey, string_agg(DISTINCT l_partkey || ' ' || p_name, ', ') AS l
+  FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1),
+h AS (SELECT DISTINCT l_orderkey, tag FROM t JOIN d ON contains(l, variant))
+SELECT l_orderkey, coalesce('|' || string_agg(tag, '|' ORDER BY tag) || '|', '') AS TAGS FROM t LEFT JOIN h USING (l_orderkey) GROUP BY 1""")
+def _(spark, sf):
+    part = read(spark, sf, "part")
+    variant = F.concat_ws(" ", "p_partkey", "p_name").alias("variant")
+    entries = part.select(F.concat_ws(" ", "p_type", "p_size").alias("tag"), variant)
+    named = part.select(c("p_partkey").alias("l_partkey"), variant)
+    rows = read(spark, sf, "lineitem").select("l_orderkey", "l_partkey").join(named, "l_partkey")
+    texts = rows.groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_set("variant")), ", ").alias("l"))
+    return T.dictionary_tags(texts, ["l_orderkey"], "l", entries, "tag", "variant")
+
+
 _format_query("f3_aspect_ratio", ["ASPECT_RATIO"])
 _format_query("f4_sound_system", ["SOUND_SYSTEM"])
 _format_query("f5_film_format", ["FILM_FORMAT"])
