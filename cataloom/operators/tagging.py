@@ -30,8 +30,9 @@ def dictionary_tags(
 
     A text is cut into one piece per place, as long as the longest variant; the first characters of a piece are joined
     with the keys of the dictionary and the rest is compared on a hit.  The work per text does not grow with the
-    dictionary; for a short fixed one ``formats.tag_terms`` is the quicker way.  A dictionary under Spark's broadcast threshold is met where the texts are read; beyond it the
-    pieces move, not the texts.  Tags combine before the one shuffle by key.
+    dictionary; for a short fixed one ``formats.tag_terms`` is the quicker way.  A dictionary under Spark's broadcast
+    threshold is met where the texts are read; beyond it the pieces move, not the texts.  Tags combine before the one
+    shuffle by key.
 
     Comparison is binary.  A key with several rows gets the tags of all of them; a null key is one like any other; null
     and empty texts have no tag; without a dictionary no text has one.
