@@ -375,7 +375,8 @@ FROM nation WHERE n_regionkey <> 3""",
 FROM customer WHERE c_mktsegment <> 'MACHINERY'""",
     "rating": "SELECT 'tt' || p_partkey AS tconst, p_size / 5.0 AS averageRating FROM part",
     "movie_lang": """SELECT o_orderkey AS ID_MOVIE, 'fr' AS LANG,
-  CASE WHEN o_orderstatus = 'F' THEN 'Titre ' ELSE 'Title ' END || o_orderkey AS TITLE FROM orders WHERE o_orderpriority <> '3-MEDIUM'""",
+  CASE WHEN o_orderstatus = 'F' THEN 'Titre ' ELSE 'Title ' END || o_orderkey AS TITLE,
+  'Le résumé de la commande ' || o_orderkey AS OVERVIEW FROM orders WHERE o_orderpriority <> '3-MEDIUM'""",
     "serie_lang": "SELECT c_custkey AS ID_SERIE, 'fr' AS LANG, 'Série ' || c_custkey AS TITLE FROM customer WHERE c_nationkey > 4",
     "wikidata_movie": """SELECT 'Q' || p_partkey AS ID_WIKIDATA, p_name AS TITLE, '|' || p_name || '|Title ' || p_partkey || '|' AS ALIASES,
   CASE WHEN p_size > 45 THEN p_partkey END AS ID_CRITERION, CASE WHEN p_size > 48 THEN p_partkey END AS ID_CRITERION_SPINE,
@@ -387,6 +388,12 @@ FROM customer WHERE c_mktsegment <> 'MACHINERY'""",
     "person_serie": _credits_sql("o_custkey", "ID_SERIE"),
     "page_section": f"""SELECT 'Q' || conv_id AS ID_WIKIDATA, turn AS DISPLAY_ORDER, {pick_sql(SECTIONS, "length(text)")} AS TITLE,
   regexp_replace(text, '^[\\s\\p{{Z}}]+|[\\s\\p{{Z}}]+$', '', 'g') AS CONTENT FROM conversations""",
+    "item_property": f"""SELECT 'Q' || l_orderkey AS ID_WIKIDATA, {pick_sql(PROPERTIES, "l_linenumber - 1")} AS ID_PROPERTY, 'I' || l_partkey AS ID_ITEM,
+  min(l_linenumber) AS DISPLAY_ORDER FROM lineitem GROUP BY ALL""",
+    "item": """SELECT 'I' || p_partkey AS ID_WIKIDATA, CASE WHEN p_type = 'PROMO' THEN 'fr' ELSE 'en' END AS LANG, p_name AS LABEL
+FROM part WHERE p_size > 5""",
+    "lang_lang": f"""SELECT {pick_sql(["fr", "en", "es", "it", "pt"], "r_regionkey")} AS LANG, 'fr' AS LANG_DISPLAY,
+  {pick_sql(["français", "anglais", "espagnol", "italien", "portugais"], "r_regionkey")} AS DESCRIPTION FROM region""",
     "pub_movie": "SELECT * FROM movie WHERE ADULT = 0 AND ID_IMDB <> ''",
     "pub_serie": "SELECT * FROM serie WHERE ADULT = 0 AND ID_IMDB <> ''",
     "pub_person": "SELECT * FROM person WHERE ADULT = 0 AND ID_IMDB <> '' AND ID_WIKIDATA <> ''",

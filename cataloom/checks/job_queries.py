@@ -7,10 +7,12 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions import text as TX
 from ..functions.columns import eligible_person, eligible_title
 from ..functions import values as V
 from ..plans import documents, formats_job, publish, topics
+from ..sources.tables import empty_state
 from .catalogue import Catalogue, with_tables
 from .operator_queries import FORMAT_SQL, clean_sql
 from .registry import AUDIT, query, read
@@ -330,17 +332,182 @@ def _(spark, sf):
 # --- documents --------------------------------------------------------------
 
 
-@query("g11_movie_documents")
+_GENRE_CASE = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in V.GENRES_FR.items())
+_CODES = ", ".join(f"'{x}'" for x in V.PROPERTIES)
+_BUDGETED = ", ".join(f"'{x}'" for x in V.ALIAS_BUDGET_COLUMNS)
+_LIST_OF = " ".join(
+    f"WHEN CREW_DEPARTMENT = '{department}'{f" AND CREW_JOB = '{job}'" if job else ''} THEN '{column}'"
+    for department, column, job in V.DEPARTMENTS if department in V.CREW_DEPARTMENTS_READ
+)
+
+
+def _limited_sql(links: str, prefix: str, limit: int) -> str:
+    """Texts and tags of a list that stops at its first overflow; ``links`` has ``ID_MOVIE, id, NAME, pos``."""
+    return f"""SELECT ID_MOVIE, string_agg(NAME, ', ' ORDER BY pos) FILTER (kept) AS shown, string_agg(NAME, ' ' ORDER BY pos) FILTER (seen) AS words,
+    string_agg('{prefix}' || id, ' ' ORDER BY pos) FILTER (seen) AS tags
+  FROM (SELECT *, kept OR coalesce(lag(kept) OVER (PARTITION BY ID_MOVIE ORDER BY pos), true) AS seen FROM (
+    SELECT *, sum(length(NAME)) OVER (PARTITION BY ID_MOVIE ORDER BY pos) + 2 * greatest(pos - 1, 1) <= {limit} AS kept FROM ({links}))) GROUP BY 1"""
+
+
+def _content_sql(text: str, lang: str) -> str:
+    stop = ", ".join(f"'{w}'" for w in V.STOP_WORDS[lang])
+    words = f"regexp_extract_all({text}, '[\\p{{L}}\\p{{N}}_]+')"
+    return f"coalesce(array_to_string(list_filter({words}, lambda w: lower(w) NOT IN ({stop})), ' '), '')"
+
+
+_DOC_SHARED = f"""
+, docs AS (SELECT * FROM movie WHERE ID_IMDB <> '' AND ID_WIKIDATA <> ''),
+co AS ({_limited_sql("""SELECT ID_MOVIE, ID_COMPANY AS id, s_name AS NAME, row_number() OVER (PARTITION BY ID_MOVIE ORDER BY DISPLAY_ORDER NULLS FIRST, ID_COMPANY) AS pos
+    FROM movie_company JOIN supplier ON s_suppkey = ID_COMPANY WHERE DELETED = 0""", "o", V.MAX_COMPANIES_CHARS)}),
+star AS (SELECT x.*, p.NAME, nullif(trim(replace(w.ALIASES, '|', ' ')), '') AS other FROM person_movie x JOIN person p USING (ID_PERSON)
+  JOIN wikidata_person w USING (ID_WIKIDATA) WHERE p.ID_WIKIDATA LIKE 'Q%'),
+ca AS (SELECT ID_MOVIE, string_agg(NAME, ', ' ORDER BY pos) AS shown, string_agg('p' || ID_PERSON, ' ' ORDER BY pos) AS tags FROM (
+  SELECT *, coalesce(sum(length(NAME) + coalesce(length(other) + 1, 0)) OVER (PARTITION BY ID_MOVIE ORDER BY pos
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(NAME) + 2 * greatest(pos - 1, 1) <= {V.MAX_CAST_CHARS} AS kept
+  FROM (SELECT *, row_number() OVER (PARTITION BY ID_MOVIE ORDER BY DISPLAY_ORDER, ID_CREDIT) AS pos FROM star WHERE CREDIT_TYPE = 'cast')
+  WHERE pos <= {V.MAX_CAST}) WHERE kept GROUP BY 1),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY ID_MOVIE, list ORDER BY DISPLAY_ORDER, ID_CREDIT) AS i
+  FROM (SELECT *, CASE {_LIST_OF} END AS list FROM star WHERE CREDIT_TYPE = 'crew' AND NAME <> '') WHERE list IS NOT NULL),
+fold AS (
+  SELECT ID_MOVIE, list, CAST(0 AS BIGINT) AS i, '' AS names, CAST(0 AS BIGINT) AS used, 0 AS n, false AS took,
+    CAST(0 AS BIGINT) AS ID_PERSON, CAST(0 AS BIGINT) AS place, '' AS ID_CREDIT FROM (SELECT DISTINCT ID_MOVIE, list FROM numbered)
+  UNION ALL
+  SELECT f.ID_MOVIE, f.list, m.i, CASE WHEN ok THEN f.names || gap || m.NAME ELSE f.names END,
+    CASE WHEN ok THEN f.used + length(gap) + length(m.NAME) + CASE WHEN f.list IN ({_BUDGETED}) THEN coalesce(length(m.other) + 1, 0) ELSE 0 END ELSE f.used END,
+    CASE WHEN ok THEN f.n + 1 ELSE f.n END, ok, m.ID_PERSON, CAST(m.DISPLAY_ORDER AS BIGINT), m.ID_CREDIT
+  FROM fold f JOIN numbered m ON f.ID_MOVIE = m.ID_MOVIE AND f.list = m.list AND m.i = f.i + 1,
+    LATERAL (SELECT CASE WHEN f.names = '' THEN '' ELSE ', ' END AS gap, NOT contains(', ' || f.names || ', ', ', ' || m.NAME || ', ')
+      AND f.used + 2 + length(m.NAME) <= {V.MAX_DEPARTMENT_CHARS} AND f.n < {V.MAX_DEPARTMENT} AS ok)),
+crew_ends AS (SELECT ID_MOVIE, list, arg_max(names, i) AS names FROM fold GROUP BY ALL),
+crew AS (SELECT ID_MOVIE, {", ".join(f"max(names) FILTER (list = '{column}') AS {column}" for column in documents.CREW_COLUMNS)} FROM crew_ends GROUP BY 1),
+crew_tags AS (SELECT ID_MOVIE, string_agg('p' || ID_PERSON, ' ' ORDER BY place, ID_CREDIT, ID_PERSON) AS tags FROM fold WHERE took GROUP BY 1),
+short_lists AS (SELECT l.*, CASE WHEN n_regionkey = 1 THEN lower(n_name) END AS SHORT_NAME FROM list_ l JOIN nation ON n_nationkey = ID_LIST),
+labels_ AS (SELECT e.ID_WIKIDATA, ID_PROPERTY, LABEL, min(DISPLAY_ORDER) AS o, max(DISPLAY_ORDER) FILTER (i.LANG = 'fr') AS in_fr,
+    max(DISPLAY_ORDER) FILTER (i.LANG = 'en') AS in_en
+  FROM item_property e JOIN item i ON e.ID_ITEM = i.ID_WIKIDATA WHERE LABEL <> '' AND LABEL <> ID_ITEM AND ID_PROPERTY IN ({_CODES}) GROUP BY ALL)"""
+
+_DOC_LOCAL = {
+    "fr": {
+        "title": "coalesce(t.TITLE, '')", "overview": "coalesce(t.OVERVIEW, '')", "alt_title": "d.TITLE",
+        "keyword": "SELECT p_partkey AS id, 'mot ' || p_name AS NAME FROM part WHERE p_type <> 'LARGE'",
+        "list": "coalesce(nullif(g.SHORT_NAME, ''), x.SHORT_NAME, x.NAME)", "collection": "coalesce(nullif(g.NAME, ''), x.NAME)",
+    },
+    "en": {
+        "title": "d.TITLE", "overview": "d.OVERVIEW", "alt_title": "''", "keyword": "SELECT p_partkey AS id, p_name AS NAME FROM part",
+        "list": "coalesce(x.SHORT_NAME, x.NAME)", "collection": "x.NAME",
+    },
+}
+_SHOWN = ["directors", "writers", "producers"]
+
+
+def _doc_fields_sql(lang: str) -> dict[str, str]:
+    """Document fields over the joined parts of one language."""
+    fiction, documentary = V.MOVIE_KIND[lang]
+    feature, short = V.LENGTH_LABELS[lang]
+    new_alt = "alt_title <> '' AND alt_title <> title AND alt_title <> ORIGINAL_TITLE"
+    titled = "title <> '' AND ORIGINAL_TITLE <> ''"
+    listed = "replace(al, '|', ', ')"
+    fields = {
+        "title": "title", "kind": f"CASE WHEN IS_DOCUMENTARY = 1 THEN '{documentary}' ELSE '{fiction}' END",
+        "year": "coalesce(strftime(DAT_RELEASE, '%Y'), '')", "language": "coalesce(shown_language, '')",
+        "title_lemma": f"CASE WHEN {_content_sql('title', lang)} <> title THEN {_content_sql('title', lang)} END",
+        "foreign_title": f"CASE WHEN {titled} AND ORIGINAL_TITLE <> title THEN ORIGINAL_TITLE END",
+        "same_title": f"CASE WHEN {titled} AND ORIGINAL_TITLE = title THEN ORIGINAL_TITLE END",
+        "alt_title": f"CASE WHEN {titled} AND {new_alt} THEN alt_title END", "alias_words": "trim(replace(al, '|', ' '))",
+        "other_titles": f"CASE WHEN length({listed}) > 4 THEN nullif(nullif(substr({listed}, 3, length({listed}) - 4), ''), ',') END",
+        "fiction": f"CASE WHEN IS_DOCUMENTARY = 0 THEN '{V.FICTION_LABEL}' END", "genres": "nullif(array_to_string(genre_items, ', '), '')",
+        "genres_plain": "replace(array_to_string(genre_items, ', '), ',', '')", "more_genres": "', ' || nullif(P136, '')",
+        "length_label": f"CASE WHEN RUNTIME > {V.FEATURE_MINUTES} THEN '{feature}' WHEN RUNTIME > 0 THEN '{short}' END",
+        "feature_minutes": f"CASE WHEN RUNTIME > {V.FEATURE_MINUTES} THEN RUNTIME END",
+        "short_minutes": f"CASE WHEN RUNTIME BETWEEN 1 AND {V.FEATURE_MINUTES} THEN RUNTIME END",
+        "keywords": "keywords", "keywords_lemma": f"CASE WHEN keywords <> '' THEN {_content_sql('keyword_words', lang)} END",
+        "collection": "collection", "lists": "lists", "lists_lemma": f"CASE WHEN lists <> '' THEN {_content_sql('lists', lang)} END",
+        "criterion": f"CASE WHEN ID_CRITERION > 0 THEN '{V.CRITERION_LABEL}' || CASE WHEN ID_CRITERION_SPINE > 0 "
+                     f"THEN '{V.CRITERION_SPINE_LABEL}' || ID_CRITERION_SPINE ELSE '' END END",
+        "companies": "companies", "overview": "overview",
+        "overview_lemma": f"CASE WHEN title <> '' AND overview <> '' THEN {_content_sql('overview', lang) if lang == 'fr' else repr('')} END",
+        "cast": "cast_top", "cast_plain": "replace(cast_top, ',', '')",
+    }
+    for tech in documents.TECH:
+        shown = f"nullif(replace(regexp_replace({tech}, '^\\||\\|$', '', 'g'), '|', ', '), '')"
+        fields |= {tech.lower(): shown, f"{tech.lower()}_plain": f"replace({shown}, ',', '')"}
+    for name in _SHOWN:
+        fields |= {name: name.upper(), f"{name}_plain": f"replace({name.upper()}, ',', '')"}
+    return {**fields, **{code: code for code in V.PROPERTIES}}
+
+
+def _doc_parts_sql(lang: str) -> str:
+    """Common table expressions of one language, up to its fields and keyword document."""
+    local = _DOC_LOCAL[lang]
+    fields = ", ".join(f"{text} AS f_{name}" for name, text in _doc_fields_sql(lang).items())
+    text = ", ".join(f"f_{n}" for n in [*V.KEYWORD_FRAGMENTS, *_IN_TEXT])
+    links = f"""SELECT ID_MOVIE, id, NAME, row_number() OVER (PARTITION BY ID_MOVIE ORDER BY DISPLAY_ORDER NULLS FIRST, id) AS pos
+    FROM movie_keyword JOIN ({local["keyword"]}) ON id = ID_KEYWORD WHERE DELETED = 0"""
+    return f""",
+kw_{lang} AS ({_limited_sql(links, "k", V.MAX_KEYWORDS_CHARS)}),
+li_{lang} AS (SELECT ID_MOVIE, string_agg({local["list"]}, ', ' ORDER BY m.ID_LIST) AS shown, string_agg('l' || m.ID_LIST, ' ' ORDER BY m.ID_LIST) AS tags
+  FROM movie_list m JOIN short_lists x ON x.ID_LIST = m.ID_LIST LEFT JOIN list_lang g ON g.ID_LIST = m.ID_LIST WHERE USE_FOR_TAGGING = 1 GROUP BY 1),
+pr_{lang} AS (SELECT ID_WIKIDATA, {", ".join(f"max(TEXT) FILTER (ID_PROPERTY = '{x}') AS {x}" for x in V.PROPERTIES)} FROM (
+  SELECT ID_WIKIDATA, ID_PROPERTY, coalesce(arg_max(LABEL, ROW(in_{lang}, LABEL)) FILTER (in_{lang} IS NOT NULL),
+    string_agg(LABEL, ', ' ORDER BY o, LABEL)) AS TEXT FROM labels_ GROUP BY ALL) GROUP BY 1),
+joined_{lang} AS (SELECT d.* EXCLUDE (TITLE, OVERVIEW), {local["title"]} AS title, {local["overview"]} AS overview, {local["alt_title"]} AS alt_title,
+    l.DESCRIPTION AS shown_language, kw.shown AS keywords, kw.words AS keyword_words, kw.tags AS keyword_tags, co.shown AS companies, co.tags AS company_tags,
+    li.shown AS lists, li.tags AS list_tags, averageRating AS rating, ID_CRITERION, ID_CRITERION_SPINE, ca.shown AS cast_top, ca.tags AS cast_tags,
+    crew.* EXCLUDE (ID_MOVIE), ct.tags AS crew_tags, nullif({local["collection"]}, '') AS collection, pr.* EXCLUDE (ID_WIKIDATA),
+    list_filter([CASE x {_GENRE_CASE} ELSE x END FOR x IN string_split(GENRES, '|')], lambda x: x <> '') AS genre_items,
+    nullif(replace(replace(replace(w.ALIASES, '|' || {local["title"]} || '|', '|'), '|' || coalesce(ORIGINAL_TITLE, '') || '|', '|'),
+      '|' || {local["alt_title"]} || '|', '|'), '') AS al
+  FROM docs d LEFT JOIN movie_lang t ON t.ID_MOVIE = d.ID_MOVIE LEFT JOIN lang_lang l ON l.LANG = ORIGINAL_LANGUAGE AND l.LANG_DISPLAY = '{lang}'
+    LEFT JOIN kw_{lang} kw ON kw.ID_MOVIE = d.ID_MOVIE LEFT JOIN co ON co.ID_MOVIE = d.ID_MOVIE LEFT JOIN li_{lang} li ON li.ID_MOVIE = d.ID_MOVIE
+    LEFT JOIN rating ON tconst = ID_IMDB LEFT JOIN wikidata_movie w ON w.ID_WIKIDATA = d.ID_WIKIDATA LEFT JOIN ca ON ca.ID_MOVIE = d.ID_MOVIE
+    LEFT JOIN crew ON crew.ID_MOVIE = d.ID_MOVIE LEFT JOIN crew_tags ct ON ct.ID_MOVIE = d.ID_MOVIE
+    LEFT JOIN collection x ON x.ID_COLLECTION = d.ID_COLLECTION AND d.ID_COLLECTION <> 0
+    LEFT JOIN collection_lang g ON g.ID_COLLECTION = x.ID_COLLECTION LEFT JOIN pr_{lang} pr ON pr.ID_WIKIDATA = d.ID_WIKIDATA),
+f_{lang} AS (SELECT *, {fields} FROM joined_{lang}),
+w_{lang} AS (SELECT ID_MOVIE, t.w, min(t.pos) AS pos FROM f_{lang}, unnest(string_split(concat_ws(' ', {text}), ' ')) WITH ORDINALITY AS t(w, pos)
+  WHERE t.w <> '' GROUP BY ALL),
+doc_{lang} AS (SELECT ID_MOVIE, string_agg(w, ' ' ORDER BY pos) AS TEXT_DOC FROM w_{lang} GROUP BY 1)"""
+
+
+def _doc_select_sql(lang: str) -> str:
+    crew = ", ".join(f"coalesce({column}, '') AS {column}" for column in documents.CREW_COLUMNS)
+    genre_tags = "nullif(regexp_replace(array_to_string(list_transform(genre_items, lambda x: regexp_replace(x, '[- ]', '', 'g')), ' '), '^$', ''), '')"
+    lemmas = ", ".join(f"coalesce(f_{n}, '') AS {n.upper()}" for n in ("overview_lemma", "keywords_lemma", "lists_lemma"))
+    return f"""
+SELECT f.ID_MOVIE, '{lang}' AS LANG, f_year AS YEAR_RELEASE, f_language AS ORIGINAL_LANGUAGE,
+  concat_ws(' ', CASE WHEN ID_COLLECTION <> 0 THEN 'c' || ID_COLLECTION END, {genre_tags}, keyword_tags, company_tags, list_tags, cast_tags, crew_tags) AS TAGS,
+  coalesce(rating, 0.0) AS IMDB_RATING,
+  CASE WHEN IS_DOCUMENTARY = 1 THEN round(coalesce(rating, 0.0) - {V.DOCUMENTARY_PENALTY}, 1) ELSE coalesce(rating, 0.0) END AS IMDB_RATING_ADJUSTED,
+  coalesce(keywords, '') AS KEYWORDS, coalesce(f_genres, '') AS GENRES, coalesce(collection, '') AS COLLECTION, coalesce(lists, '') AS LISTS,
+  coalesce(cast_top, '') AS CAST_TOP, {crew}, {lemmas}, coalesce(TEXT_DOC, '') AS TEXT_DOC, {_sentences_sql(lang)} AS TEXT_SBERT
+FROM f_{lang} f LEFT JOIN doc_{lang} USING (ID_MOVIE)"""
+
+
+def documents_sql(*langs: str) -> str:
+    """All columns of the documents in the given languages."""
+    names = "movie movie_lang movie_keyword movie_company movie_list list list_lang person person_movie wikidata_person wikidata_movie rating " \
+            "collection collection_lang lang_lang item item_property"
+    parts = "".join(_doc_parts_sql(x) for x in langs)
+    body = "\nUNION ALL".join(_doc_select_sql(x) for x in langs)
+    return with_tables(names, _DOC_SHARED + parts + body).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@query("g11_movie_documents", documents_sql("fr"))
 def movie_documents_query(spark, sf):
     return documents.movie_documents(Catalogue(spark, sf), "fr")
 
 
-@query("g11_movie_documents_en")
+@query("g11_movie_documents_en", documents_sql("en"))
 def _(spark, sf):
     return documents.movie_documents(Catalogue(spark, sf), "en")
 
 
-_GENRE_CASE = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in V.GENRES_FR.items())
+@query("g11_documents_both", documents_sql("fr", "en"))
+def _(spark, sf):
+    """Both languages out of one pass over the tables."""
+    return documents.movie_documents(Catalogue(spark, sf), ["fr", "en"])
+
+
 _DOC_PARTS = f"""
 , docs AS (SELECT * FROM movie WHERE ID_IMDB <> '' AND ID_WIKIDATA <> ''),
 kw AS (SELECT ID_MOVIE, string_agg('mot ' || p_name, ', ' ORDER BY DISPLAY_ORDER NULLS FIRST, ID_KEYWORD) AS KEYWORDS
@@ -394,3 +561,33 @@ def _(spark, sf):
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
+
+# words of the derived overviews that are no stop words: start, word or null for the number, label
+_OVERVIEW_WORDS = {
+    "fr": [(3, "résumé", "X"), (16, "commande", "X"), (25, None, "NUM")], "en": [(3, "overview", "X"), (15, "order", "X"), (21, None, "NUM")],
+}
+
+
+def _overview_lemmas_sql(lang: str) -> str:
+    words = ", ".join(
+        f"({start}, {f"'{word}'" if word else 'CAST(NULL AS VARCHAR)'}, '{label}')" for start, word, label in _OVERVIEW_WORDS[lang])
+    spoken = " AND o_orderpriority <> '3-MEDIUM'" if lang == "fr" else ""
+    return f"""SELECT o_orderkey AS ID_MOVIE, '{lang}' AS LANG, strftime(CAST(o_orderdate AS DATE), '%Y') AS YEAR_RELEASE, START_CHAR,
+  coalesce(word, CAST(o_orderkey AS VARCHAR)) AS NAME, LABEL
+FROM orders, (VALUES {words}) AS v(START_CHAR, word, LABEL) WHERE o_orderstatus <> 'P' AND o_orderpriority <> '5-LOW'{spoken}"""
+
+
+@query("g11_document_job", f"""
+{_overview_lemmas_sql("fr")}
+UNION ALL {_overview_lemmas_sql("en")}""")
+def _(spark, sf):
+    """Lemmas of the overviews beside their documents, from all tables that the job writes in both languages."""
+    tables = Catalogue(spark, sf)
+    for name in ("movie_document", "lemma", "movie_lemma"):
+        tables[name] = schemas.empty_table(spark, name)
+    tables["state"] = empty_state(spark)
+    written = documents.document_job(tables, ["fr", "en"], AUDIT)
+    lemma = written["lemma"].select("ID_LEMME", "NAME", "LABEL")
+    docs = written["movie_document"].select("ID_MOVIE", "LANG", "YEAR_RELEASE")
+    rows = written["movie_lemma"].join(lemma, "ID_LEMME").join(docs, ["ID_MOVIE", "LANG"])
+    return rows.select("ID_MOVIE", "LANG", "YEAR_RELEASE", "START_CHAR", "NAME", "LABEL")

@@ -41,18 +41,31 @@ def with_labels(edges: DataFrame, items: DataFrame) -> DataFrame:
     return edges.join(labels, "ID_ITEM", "left")
 
 
-def localised(
-    base: DataFrame, variants: DataFrame, key: str, column: str, lang: str, out: str,
+def in_languages(df: DataFrame, langs: Sequence[str]) -> DataFrame:
+    """Every row once per language, with the language as ``LANG``."""
+    return df.withColumn("LANG", F.explode(F.array(*[F.lit(x) for x in langs])))
+
+
+def localised_in(
+    base: DataFrame, variants: DataFrame, key: str, column: str, langs: Sequence[str], out: str,
     variant_column: str | None = None,
 ) -> DataFrame:
-    """Base rows with the text of one language, or the base text where that is empty."""
-    text = variants.filter(F.col("LANG") == lang).select(
-        key, F.col(variant_column or column).alias("_variant")
+    """Base rows once per language with the text of that language, or the base text where that is empty."""
+    text = variants.filter(F.col("LANG").isin(list(langs))).select(
+        key, "LANG", F.col(variant_column or column).alias("_variant")
     )
-    rows = base.join(text, key, "left")
+    rows = in_languages(base, langs).join(text, [key, "LANG"], "left")
     return rows.withColumn(out, first_present("_variant", column)).drop("_variant")
 
 
+def localised(
+    base: DataFrame, variants: DataFrame, key: str, column: str, lang: str, out: str,
+    variant_column: str | None = None,
+) -> DataFrame:
+    """``localised_in`` for one language, without a language column."""
+    return localised_in(base, variants, key, column, [lang], out, variant_column).drop("LANG")
+
+
 def lookup_ci(values: DataFrame, dim: DataFrame, text: str, name: str, id_column: str) -> DataFrame:
     """Add the id of a dimension text: equal text first, else equal but for case.
 

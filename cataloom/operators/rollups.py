@@ -65,31 +65,44 @@ def ordered_join(
 # --- knowledge graph --------------------------------------------------------
 
 
-def property_text(edges: DataFrame, items: DataFrame, lang: str) -> DataFrame:
-    """Label text per entity and property.
+def property_texts(edges: DataFrame, items: DataFrame, langs: Sequence[str]) -> DataFrame:
+    """Label text per entity, property and language.
 
     The last label of the wanted language stands alone; without one, all distinct
-    labels are joined in display order.
+    labels are joined in display order. All languages come out of one fold.
     """
     keys = ["ID_WIKIDATA", "ID_PROPERTY"]
     rows = with_labels(edges, items)
     rows = rows.filter(present("LABEL") & (F.col("LABEL") != F.col("ID_ITEM")))
     # a missing order sorts first; equal orders are settled by the label
     order = F.coalesce("DISPLAY_ORDER", F.lit(-1))
-    spoken = F.max(F.when(F.col("LANG") == lang, order)).alias("_spoken")
-    labels = rows.groupBy(*keys, "LABEL").agg(F.min(order).alias("_ord"), spoken)
+    spoken = [F.max(F.when(F.col("LANG") == x, order)).alias(f"_in_{i}") for i, x in enumerate(langs)]
+    labels = rows.groupBy(*keys, "LABEL").agg(F.min(order).alias("_ord"), *spoken)
     listed = F.array_sort(F.collect_list(F.struct("_ord", "LABEL")))
-    text = F.array_join(F.transform(listed, lambda x: x["LABEL"]), V.SEPARATOR)
-    last = F.when(F.col("_spoken").isNotNull(), F.struct("_spoken", "LABEL"))
-    return labels.groupBy(*keys).agg(
-        F.coalesce(F.max(last)["LABEL"], text).alias("TEXT")
+    last = [
+        F.max(F.when(F.col(f"_in_{i}").isNotNull(), F.struct(f"_in_{i}", "LABEL")))["LABEL"].alias(f"_last_{i}")
+        for i in range(len(langs))
+    ]
+    rows = labels.groupBy(*keys).agg(
+        F.array_join(F.transform(listed, lambda x: x["LABEL"]), V.SEPARATOR).alias("_all"), *last
     )
+    texts = [
+        F.struct(F.lit(x).alias("LANG"), F.coalesce(f"_last_{i}", "_all").alias("TEXT")) for i, x in enumerate(langs)
+    ]
+    return rows.select(*keys, F.inline(F.array(*texts)))
 
 
-def pivot_properties(texts: DataFrame, codes: Sequence[str]) -> DataFrame:
-    """One row per entity with a text column per property code."""
+def property_text(edges: DataFrame, items: DataFrame, lang: str) -> DataFrame:
+    """``property_texts`` of one language, without a language column."""
+    return property_texts(edges, items, [lang]).drop("LANG")
+
+
+def pivot_properties(
+    texts: DataFrame, codes: Sequence[str], keys: Sequence[str] = ("ID_WIKIDATA",)
+) -> DataFrame:
+    """One row per entity, or per other ``keys``, with a text column per property code."""
     wanted = texts.filter(F.col("ID_PROPERTY").isin(list(codes)))
-    return wanted.groupBy("ID_WIKIDATA").agg(
+    return wanted.groupBy(*keys).agg(
         *[F.max(F.when(F.col("ID_PROPERTY") == c, F.col("TEXT"))).alias(c) for c in codes]
     )
 

@@ -139,6 +139,12 @@ TABLES = {
     "person_movie": "ID_CREDIT string, ID_MOVIE bigint, " + _CREDIT_COLUMNS + AUDIT,
     "person_serie": "ID_CREDIT string, ID_SERIE bigint, " + _CREDIT_COLUMNS + AUDIT,
     "movie_technical": "ID_MOVIE bigint, ID_TECHNICAL bigint, " + AUDIT,
+    "movie_lemma": "ID_MOVIE bigint, ID_LEMME bigint, START_CHAR int, LANG string",
+    "movie_document": "ID_MOVIE bigint, LANG string, YEAR_RELEASE string, ORIGINAL_LANGUAGE string, TAGS string, IMDB_RATING double, "
+    "IMDB_RATING_ADJUSTED double, KEYWORDS string, GENRES string, COLLECTION string, LISTS string, CAST_TOP string, CREW_TOP string, "
+    "DIRECTORS string, WRITERS string, PRODUCERS string, EDITORS string, ART string, CAMERA string, LIGHTNING string, SOUND string, "
+    "COSTUME_MAKEUP string, VISUAL_EFFECTS string, OVERVIEW_LEMMA string, KEYWORDS_LEMMA string, LISTS_LEMMA string, TEXT_DOC string, "
+    "TEXT_SBERT string",
 }
 for _title, _id in (("movie", "ID_MOVIE"), ("serie", "ID_SERIE")):
     for _name, _child in (
