@@ -64,6 +64,10 @@ class Merges:
             a, b = map(as_bytes, pair if isinstance(pair, list) else pair.split(" "))
             self.ranks[a, b] = rank
             made.setdefault(a + b, (a, b, rank))
+        #: the rules over ids: rank of a pair (first id in the upper bits), token that a rank makes
+        self.pair_ranks = {self.ids[a] << 32 | self.ids[b]: rank for (a, b), rank in self.ranks.items()}
+        self.made_by = {rank: self.ids[a + b] for (a, b), rank in self.ranks.items()}
+        self.byte_ids = [self.ids.get(bytes([x]), -1) for x in range(256)]
         size = 1 + max([*self.ids.values(), *self.special.values()])
         self.bytes_of = [b""] * size
         for k, v in self.ids.items():
@@ -92,21 +96,24 @@ class Merges:
 
     def merge(self, piece: bytes) -> list[bytes]:
         """Apply the merge list to a short piece, rule by rule."""
-        parts = [piece[i : i + 1] for i in range(len(piece))]
-        ranks, worst = self.ranks, len(self.ranks)
-        while len(parts) > 1:
-            best = min(zip(parts, parts[1:], strict=False), key=lambda p: ranks.get(p, worst))
-            if best not in ranks:
-                break
-            joined, out, i = best[0] + best[1], [], 0
-            while i < len(parts):
-                if i + 1 < len(parts) and parts[i] == best[0] and parts[i + 1] == best[1]:
-                    out.append(joined)
-                    i += 2
-                else:
-                    out.append(parts[i])
-                    i += 1
-            parts = out
+        return [self.bytes_of[i] for i in self.merge_ids(piece)]
+
+    def merge_ids(self, piece: bytes) -> list[int]:
+        """Ids of a short piece: the rule of the lowest rank first, of equal ones the left place.
+
+        The ranks of all neighbours stand in a list beside the tokens; a step changes two of them.
+        """
+        rank_of, never = self.pair_ranks.get, len(self.ranks)
+        parts = [self.byte_ids[x] for x in piece]
+        ranks = [rank_of(a << 32 | b, never) for a, b in zip(parts, parts[1:], strict=False)]
+        while ranks and (best := min(ranks)) < never:
+            i = ranks.index(best)
+            token = parts[i] = self.made_by[best]
+            del parts[i + 1], ranks[i]
+            if i < len(ranks):
+                ranks[i] = rank_of(token << 32 | parts[i + 1], never)
+            if i:
+                ranks[i - 1] = rank_of(parts[i - 1] << 32 | token, never)
         return parts
 
     def fits(self, a: int, b: int) -> bool:

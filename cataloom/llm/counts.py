@@ -50,7 +50,7 @@ class Counter:
 
     def _merged(self, piece: bytes) -> int:
         if len(piece) <= 2 * self.merges.lookahead:
-            return len(self.merges.merge(piece))
+            return len(self.merges.merge_ids(piece))
         t = Transducer(self.merges)  # rule by rule would be quadratic here
         return sum(len(t.feed(piece[at : at + 4096])) for at in range(0, len(piece), 4096)) + len(t.finish())
 
