@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,16 +12,57 @@ from pyspark.sql import functions as F
 from ..functions.columns import present
 
 KEY_CHARS = 4
+#: how often a key may double; of longer variants all have keys of this length
+DOUBLINGS = 6
+#: characters of a block that a text is cut into before its places
+BLOCK = 256
+#: bits of the dictionary's filter per beginning it holds, and its largest size in 64-bit words (8 MB)
+FILTER_BITS, FILTER_WORDS = 16, 1 << 20
+
+
+def _stems(key_chars: int) -> list[int]:
+    """Lengths that keys of ``key_chars`` characters or more have."""
+    return [key_chars << i for i in range(DOUBLINGS + 1)]
 
 
 def dictionary_rows(dictionary: DataFrame, tag: str, variant: str, key_chars: int = KEY_CHARS) -> DataFrame:
-    """Distinct ``TAG``, ``VARIANT`` and the key it is looked up by: its first characters, all of a shorter one.
+    """Distinct ``TAG``, ``VARIANT`` and the key it is looked up by: its first characters.
 
-    Entries without a tag or without a variant are left out.
+    A key has ``key_chars`` characters, doubled (six times at most) while the variant is long enough, so it stays selective
+    when many variants begin alike; a shorter variant is its own key.  Entries without a tag or variant are left out.
     """
     rows = dictionary.select(F.col(tag).alias("TAG"), F.col(variant).alias("VARIANT"))
     rows = rows.filter(present("TAG") & present("VARIANT")).distinct()
-    return rows.withColumn("_key", F.substring("VARIANT", 1, key_chars))
+    chars = F.length("VARIANT")
+    length = reduce(lambda shorter, n: F.when(chars >= n, F.lit(n)).otherwise(shorter), _stems(key_chars), chars)
+    return rows.withColumn("_key", F.substring("VARIANT", F.lit(1), length))
+
+
+def _begin(text: Column, length: Column) -> Column:
+    return F.xxhash64(F.substring(text, F.lit(1), length))
+
+
+def _key_filter(entries: DataFrame, key_chars: int) -> DataFrame:
+    """One row with ``words``, a Bloom filter of the beginnings of all keys, of bounded size."""
+    chars = F.length("_key")
+    grown = F.filter(F.array(*[F.lit(n) for n in _stems(key_chars)]), lambda n: n <= F.length("_key"))
+    stems = entries.select("_key").distinct().select(
+        "_key", F.explode(F.when(chars < key_chars, F.array(chars)).otherwise(grown)).alias("_stem"))
+    hashes = stems.select(_begin(F.col("_key"), F.col("_stem")).alias("_hash")).distinct()
+    wanted = F.ceil(F.count(F.lit(1)) * FILTER_BITS / 64)
+    words = hashes.agg(F.greatest(F.lit(1), F.least(F.lit(FILTER_WORDS), wanted)).cast("int").alias("_words"))
+    size = words.scalar()
+    bits = hashes.select(
+        F.pmod(F.col("_hash"), size).cast("int").alias("_word"), _bit(F.col("_hash")).alias("_bits"))
+    empty = words.select(F.explode(F.sequence(F.lit(0), F.col("_words") - 1)).alias("_word"), F.lit(0).cast("long").alias("_bits"))
+    filled = bits.unionByName(empty).groupBy("_word").agg(F.bit_or("_bits").alias("_bits"))
+    listed = F.array_sort(F.collect_list(F.struct("_word", "_bits")))
+    return filled.agg(F.transform(listed, lambda x: x["_bits"]).alias("words"))
+
+
+def _bit(hashed: Column) -> Column:
+    """One of the 64 bits of a word, by the high bits of the hash."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(hashed, 58).cast("int"))
 
 
 def dictionary_tags(
@@ -28,30 +71,50 @@ def dictionary_tags(
 ) -> DataFrame:
     """Per key the sorted tags whose variants occur in its texts, as ``|a|b|`` (empty when none does).
 
-    A text is cut into one piece per place, as long as the longest variant; the first characters of a piece are joined
-    with the keys of the dictionary and the rest is compared on a hit.  The work per text does not grow with the
-    dictionary; for a short fixed one ``formats.tag_terms`` is the quicker way.  A dictionary under Spark's broadcast
-    threshold is met where the texts are read; beyond it the pieces move, not the texts.  Tags combine before the one
-    shuffle by key.
+    A text has one piece per place, as long as the longest variant.  A Bloom filter of the dictionary's keys, at most
+    8 MB, drops the pieces that begin like no variant where the texts are read, before anything is sorted or sent: only
+    about as many pieces as there are finds go on, and one mark per text.  These are joined with the keys of the
+    dictionary and the rest is compared on a hit.  For a short fixed dictionary ``formats.tag_terms`` is the quicker
+    way.  A dictionary under Spark's broadcast threshold is met where the texts are read; beyond it the pieces move, not
+    the texts.  Tags combine before the one shuffle by key.
 
     Comparison is binary.  A key with several rows gets the tags of all of them; a null key is one like any other; null
     and empty texts have no tag; without a dictionary no text has one.
     """
     entries = dictionary_rows(dictionary, tag, variant, key_chars)
-    sizes = entries.agg(
-        F.struct(
-            F.coalesce(F.max(F.length("VARIANT")), F.lit(0)).alias("longest"),
-            F.sort_array(F.collect_set(F.length("_key"))).alias("keys"),
-        ).alias("sizes")
-    )
-    rows = lines.select(*keys, F.col(text).alias("_text"), sizes.scalar().alias("_sizes"))
-    places = F.when(F.length("_text") > 0, F.sequence(F.lit(1), F.length("_text")))
-    rows = rows.select(*keys, "_text", "_sizes", F.explode_outer(places).alias("_at"))
-    piece = F.substring("_text", F.col("_at"), F.col("_sizes")["longest"])
-    rows = rows.select(*keys, piece.alias("_piece"), F.explode_outer(F.col("_sizes")["keys"]).alias("_length"))
-    # a piece at the end of a text may be shorter than the key asked for: it has that key at another length
-    whole = F.length("_piece") >= F.col("_length")
-    rows = rows.withColumn("_key", F.when(whole, F.substring("_piece", F.lit(1), F.col("_length"))))
+    longest = entries.agg(F.coalesce(F.max(F.length("VARIANT")), F.lit(0)).alias("longest"))
+    lengths = entries.agg(F.sort_array(F.collect_set(F.length("_key"))).alias("lengths"))
+    held = _key_filter(entries, key_chars)
+
+    def begins(length: Column) -> Column:
+        """Some key may begin with the first ``length`` characters of the piece."""
+        hashed, words = _begin(F.col("_piece"), length), held.scalar()
+        word = F.get(words, F.pmod(hashed, F.size(words)).cast("int"))
+        return (F.length("_piece") >= length) & (word.bitwiseAND(_bit(hashed)) != 0)
+
+    # blocks first: a place is then reached within its block, however long the text
+    froms = F.sequence(F.lit(1), F.greatest(F.length("_text"), F.lit(1)), F.lit(BLOCK))
+    rows = lines.select(*keys, F.col(text).alias("_text"), longest.scalar().alias("_longest"))
+    rows = rows.select(*keys, "_text", "_longest", F.explode_outer(froms).alias("_from"))
+    block = F.substring("_text", F.col("_from"), F.col("_longest") + (BLOCK - 1))
+    size = F.least(F.lit(BLOCK), F.length("_text") - F.col("_from") + 1)
+    rows = rows.select(*keys, "_longest", "_from", block.alias("_block"), size.alias("_size"))
+    pieces = F.when(F.col("_size") > 0, F.transform(
+        F.sequence(F.lit(1), F.col("_size")), lambda at: F.substring("_block", at, F.col("_longest"))))
+    # a null piece is the mark of a text: one without a find has a row too
+    marked = F.when(F.coalesce("_from", F.lit(1)) == 1, F.array(F.lit(None).cast("string")))
+    none = F.array().cast("array<string>")
+    rows = rows.select(*keys, F.explode(F.concat(F.coalesce(marked, none), F.coalesce(pieces, none))).alias("_piece"))
+    mark = F.col("_piece").isNull()
+    rows = rows.filter(mark | reduce(or_, [begins(F.lit(n)) for n in range(1, key_chars + 1)]))
+    rows = rows.select(*keys, "_piece", F.explode(F.when(mark, F.array(F.lit(0))).otherwise(lengths.scalar())).alias("_length"))
+    length = F.col("_length")
+    tests = [(length != n) | begins(F.lit(n)) for n in range(1, key_chars)]
+    tests += [(length < n) | begins(F.lit(n)) for n in _stems(key_chars)]
+    rows = rows.filter(mark | reduce(and_, tests))
+    # the mark of a text has a key that no variant has, a different one for each: they must not meet in one task
+    nothing = F.concat(F.lit("\0"), F.xxhash64(*keys).cast("string"))
+    rows = rows.select(*keys, "_piece", F.coalesce(F.substring("_piece", F.lit(1), F.col("_length")), nothing).alias("_key"))
     starts = F.startswith(F.col("_piece"), F.col("VARIANT"))
     hits = rows.join(entries, "_key", "left").groupBy(*keys).agg(F.collect_set(F.when(starts, F.col("TAG"))).alias("_tags"))
     return hits.select(*keys, _wrapped(F.array_sort("_tags")).alias(out))

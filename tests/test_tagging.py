@@ -49,3 +49,25 @@ def test_a_large_dictionary_meets_pieces_not_texts(spark):
         assert {r.id: r.TAGS for r in got.collect()} == {i: f"|t{i}|" for i in range(50)}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_pieces_that_begin_like_no_variant_are_dropped_before_the_join(spark):
+    """Of a long text only its finds and one mark reach the join and the grouping."""
+    texts = spark.createDataFrame([(i, "abcdefgh " * 40 + f"item {i} of many") for i in range(30)], TEXTS)
+    entries = spark.createDataFrame([(f"t{i}", f"item {i} of many") for i in range(30)], ENTRIES)
+    got = T.dictionary_tags(texts, ["id"], "text", entries, "tag", "variant")
+    assert {r.id: r.TAGS for r in got.collect()} == {i: f"|t{i}|" for i in range(30)}
+    joined = got._jdf.queryExecution().optimizedPlan()
+    while joined.nodeName() != "Join":
+        joined = joined.children().head()
+    pieces = spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, joined.children().head())
+    assert pieces.count() <= 2 * 30 + 10
+
+
+def test_keys_grow_with_their_variants(spark):
+    entries = spark.createDataFrame([("a", "12"), ("b", "12345"), ("c", "12345678 x"), ("d", "é" * 700)], ENTRIES)
+    keys = {r.TAG: r._key for r in T.dictionary_rows(entries, "tag", "variant").collect()}
+    assert keys == {"a": "12", "b": "1234", "c": "12345678", "d": "é" * 256}
+    texts = spark.createDataFrame([(1, "x" * 300 + "é" * 700), (2, "é" * 699 + "12345678 x"), (3, "1" + "12" * 200)], TEXTS)
+    got = T.dictionary_tags(texts, ["id"], "text", entries, "tag", "variant")
+    assert {r.id: r.TAGS for r in got.collect()} == {1: "|d|", 2: "|a|b|c|", 3: "|a|"}
