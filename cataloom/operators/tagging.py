@@ -10,14 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import present
+from .relate import may_hold, membership_filter
 
 KEY_CHARS = 4
 #: how often a key may double; of longer variants all have keys of this length
 DOUBLINGS = 6
 #: characters of a block that a text is cut into before its places
 BLOCK = 256
-#: bits of the dictionary's filter per beginning it holds, and its largest size in 64-bit words (8 MB)
-FILTER_BITS, FILTER_WORDS = 16, 1 << 20
 
 
 def _stems(key_chars: int) -> list[int]:
@@ -43,26 +42,13 @@ def _begin(text: Column, length: Column) -> Column:
 
 
 def _key_filter(entries: DataFrame, key_chars: int) -> DataFrame:
-    """One row with ``words``, a Bloom filter of the beginnings of all keys, of bounded size."""
+    """``membership_filter`` of the beginnings of all keys."""
     chars = F.length("_key")
     grown = F.filter(F.array(*[F.lit(n) for n in _stems(key_chars)]), lambda n: n <= F.length("_key"))
     stems = entries.select("_key").distinct().select(
         "_key", F.explode(F.when(chars < key_chars, F.array(chars)).otherwise(grown)).alias("_stem"))
     hashes = stems.select(_begin(F.col("_key"), F.col("_stem")).alias("_hash")).distinct()
-    wanted = F.ceil(F.count(F.lit(1)) * FILTER_BITS / 64)
-    words = hashes.agg(F.greatest(F.lit(1), F.least(F.lit(FILTER_WORDS), wanted)).cast("int").alias("_words"))
-    size = words.scalar()
-    bits = hashes.select(
-        F.pmod(F.col("_hash"), size).cast("int").alias("_word"), _bit(F.col("_hash")).alias("_bits"))
-    empty = words.select(F.explode(F.sequence(F.lit(0), F.col("_words") - 1)).alias("_word"), F.lit(0).cast("long").alias("_bits"))
-    filled = bits.unionByName(empty).groupBy("_word").agg(F.bit_or("_bits").alias("_bits"))
-    listed = F.array_sort(F.collect_list(F.struct("_word", "_bits")))
-    return filled.agg(F.transform(listed, lambda x: x["_bits"]).alias("words"))
-
-
-def _bit(hashed: Column) -> Column:
-    """One of the 64 bits of a word, by the high bits of the hash."""
-    return F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(hashed, 58).cast("int"))
+    return membership_filter(hashes, "_hash")
 
 
 def dictionary_tags(
@@ -88,9 +74,7 @@ def dictionary_tags(
 
     def begins(length: Column) -> Column:
         """Some key may begin with the first ``length`` characters of the piece."""
-        hashed, words = _begin(F.col("_piece"), length), held.scalar()
-        word = F.get(words, F.pmod(hashed, F.size(words)).cast("int"))
-        return (F.length("_piece") >= length) & (word.bitwiseAND(_bit(hashed)) != 0)
+        return (F.length("_piece") >= length) & may_hold(held, _begin(F.col("_piece"), length))
 
     # blocks first: a place is then reached within its block, however long the text
     froms = F.sequence(F.lit(1), F.greatest(F.length("_text"), F.lit(1)), F.lit(BLOCK))

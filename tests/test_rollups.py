@@ -231,3 +231,26 @@ def test_first_position_and_numbering(spark, rows_of):
     arrays = spark.createDataFrame([(1, ["a", None, "c"]), (2, [])], "id long, xs array<string>")
     numbered = R.number_items(arrays, ["id"], "xs").filter(F.col("item").isNotNull())
     assert rows_of(numbered) == [(1, 1, "a"), (1, 3, "c")]
+
+
+def test_only_known_drops_rows_before_they_are_sent(spark, rows_of):
+    rows = spark.createDataFrame([(i % 1000, i) for i in range(2000)] + [(None, -1)], "k long, v long")
+    known = spark.createDataFrame([(3,), (3,), (None,), (5000,)], "k long")
+    got = R.only_known(rows, known, "k")
+    assert sorted(rows_of(got)) == [(3, 3), (3, 1003)]
+    assert R.only_known(rows, known.limit(0), "k").count() == 0
+    joined = got._jdf.queryExecution().optimizedPlan()
+    while joined.nodeName() != "Join":
+        joined = joined.children().head()
+    sent = spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, joined.children().head())
+    assert sent.count() < 600
+
+
+def test_properties_meet_by_entity_once(spark):
+    """Folding, pivoting and joining the texts of several languages take no further exchange."""
+    edges = spark.createDataFrame([("Q1", "P1", "I1", 1)], "ID_WIKIDATA string, ID_PROPERTY string, ID_ITEM string, DISPLAY_ORDER int")
+    items = spark.createDataFrame([("I1", "fr", "un"), ("I1", "en", "one")], "ID_WIKIDATA string, LANG string, LABEL string")
+    texts = A.pivot_properties(A.property_texts(edges, items, ["fr", "en"]), ["P1"], ["ID_WIKIDATA", "LANG"])
+    plan = texts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 4  # two for the join with the items, labels, entities
+    assert {(r.LANG, r.P1) for r in texts.collect()} == {("fr", "un"), ("en", "one")}
