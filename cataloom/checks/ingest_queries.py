@@ -25,7 +25,7 @@ LINE_SQL = ", ".join(LINE)
 def landed(rows: DataFrame, kind: str) -> DataFrame:
     """Rows as JSON texts, parsed with the payload schema and staged."""
     texts = rows.select(F.to_json(F.struct(*rows.columns)).alias("body"))
-    return stage(parse_payloads(texts, "body", schemas.PAYLOADS[kind]).select("payload.*"))
+    return stage(parse_payloads(texts, "body", schemas.PAYLOADS[kind]).select("payload.*"), "zstd")
 
 
 def current(spark, name: str, rows: DataFrame | None = None) -> DataFrame:

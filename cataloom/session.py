@@ -14,6 +14,10 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split skewed join partitions even when that costs one more exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # rows here unfold to twenty times their compressed size and more: a task takes 16 MB of a shuffle, not 64
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    # and 16 MB of a file: what a task combines or sorts stays the same size as tables grow
+    "spark.sql.files.maxPartitionBytes": "16m",
     # lists of up to 3000 characters can need 1521 names: cut them before the shuffle too
     "spark.sql.optimizer.windowGroupLimitThreshold": "4000",
     "spark.sql.session.timeZone": "UTC",
