@@ -6,6 +6,8 @@ every row of those tables passes through the JSON source.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,10 +36,11 @@ def current(spark, name: str, rows: DataFrame | None = None) -> DataFrame:
     return empty if rows is None else empty.unionByName(rows, allowMissingColumns=True)
 
 
-def credit_id() -> Column:
+def credit_id(line: Callable[[str], Column] = c) -> Column:
+    """Id of the credit made of a line, whose values ``line`` gives by name."""
     return F.concat_ws(
-        "-", *[c(n).cast("string") for n in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")],
-        F.round(c("l_extendedprice") * 100).cast("bigint").cast("string"), F.date_format("l_shipdate", "yyyyMMdd"),
+        "-", *[line(n).cast("string") for n in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")],
+        F.round(line("l_extendedprice") * 100).cast("bigint").cast("string"), F.date_format(line("l_shipdate"), "yyyyMMdd"),
     )
 
 
@@ -50,18 +53,16 @@ CREDIT_SQL = """concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey,
 
 def movie_payloads(spark, sf) -> DataFrame:
     orders = read(spark, sf, "orders")
-    person = F.pmod("l_partkey", F.lit(50))
     lines = read(spark, sf, "lineitem").select(
-        "l_orderkey", F.struct(
-            *LINE, credit_id().alias("credit_id"), person.alias("person"), "l_linestatus", "l_returnflag"
-        ).alias("x"),
+        c("l_orderkey").alias("o_orderkey"), F.struct(*LINE, "l_linestatus", "l_returnflag").alias("x")
     )
-    # the items of one payload, as they arrive in one document
-    items = lines.groupBy(c("l_orderkey").alias("o_orderkey")).agg(F.array_sort(F.collect_list("x")).alias("xs"))
+    # the items of one payload, as they arrive in one document; lines are sent as they are, texts made of them after that
+    items = lines.repartition("o_orderkey").groupBy("o_orderkey").agg(F.array_sort(F.collect_list("x")).alias("xs"))
 
     def credit(x: Column) -> Column:
         return F.struct(
-            x["person"].alias("id"), F.lit("n").alias("name"), x["credit_id"].alias("credit_id"),
+            F.pmod(x["l_partkey"], F.lit(50)).alias("id"), F.lit("n").alias("name"),
+            credit_id(lambda n: x[n] if n in LINE else c("o_orderkey")).alias("credit_id"),
             F.concat(F.lit("Role "), x["l_suppkey"].cast("string")).alias("character"),
             pick(DEPARTMENTS, x["l_linenumber"] - 1).alias("department"), x["l_returnflag"].alias("job"),
         )

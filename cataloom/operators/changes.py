@@ -58,8 +58,8 @@ def _field(df: DataFrame, name: str) -> T.DataType:
 def _merge(
     target: DataFrame, changes: DataFrame, keys: Sequence[str], audit: Audit | None,
     optional: Sequence[str] = (), keep_first: Sequence[str] = (),
-) -> DataFrame:
-    """Target columns after an upsert, plus ``_new``: the row was written now."""
+) -> tuple[DataFrame, DataFrame]:
+    """Target columns after an upsert, plus ``_new``: the row was written now.  Known rows and inserted ones."""
     keys = list(keys)
     supplied = [c for c in changes.columns if c not in keys]
     unknown = [c for c in supplied if c not in target.columns]
@@ -95,7 +95,7 @@ def _merge(
 
     # few changes can be broadcast here, so the wide target need not move
     known = rows(target.join(new, keys, "left"), False)
-    return known.unionByName(rows(new.join(target.select(*keys), keys, "left_anti"), True))
+    return known, rows(new.join(target.select(*keys), keys, "left_anti"), True)
 
 
 def upsert(
@@ -114,7 +114,8 @@ def upsert(
     are set by a left join, new ones found by an anti join on the key columns alone, so a small
     batch can be broadcast and leaves the target where it is.
     """
-    return _merge(target, changes, keys, audit, optional, keep_first).drop("_new")
+    known, inserted = _merge(target, changes, keys, audit, optional, keep_first)
+    return known.unionByName(inserted).drop("_new")
 
 
 def _touched(
@@ -141,12 +142,13 @@ def replace_children(
     """``upsert`` and ``sync_children`` in one pass over the target.
 
     For children whose upsert key names the child: a row survives when it was
-    written now or when its parent is not touched.
+    written now or when its parent is not touched.  Only rows of the target are looked up
+    among the touched parents: inserted ones survive anyway and stay where they are.
     """
-    rows = _merge(target, incoming, keys, audit)
-    rows = rows.join(_touched(incoming, parent, on_empty, parents), list(parent), "left")
-    rows = rows.filter(F.col("_new").isNotNull() | F.col("_touched").isNull())
-    return rows.select(*target.columns)
+    known, inserted = _merge(target, incoming, keys, audit)
+    known = known.join(_touched(incoming, parent, on_empty, parents), list(parent), "left")
+    known = known.filter(F.col("_new").isNotNull() | F.col("_touched").isNull())
+    return known.select(*target.columns).unionByName(inserted.select(*target.columns))
 
 
 def mirror_delete(target: DataFrame, eligible: DataFrame, key: str | Sequence[str]) -> DataFrame:

@@ -22,7 +22,7 @@ from ..functions.columns import (
 from ..operators.changes import (
     Audit, cascade_delete, replace_children, stamp, stamp_all, sync_children, upsert,
 )
-from ..operators.relate import number_items
+from ..operators.relate import may_hold, membership_filter, number_items
 from ..sources.payloads import explode_pages
 
 Tables = dict[str, DataFrame]
@@ -127,10 +127,29 @@ def _last_written(rows: DataFrame, key: str) -> DataFrame:
     return picked.select("ID_CREDIT", f"_last.{key}", *[f"_last.{n}" for n in rest])
 
 
+def _placed(array: Column) -> Column:
+    """Entries of one payload array, of which those of a person take the person's first place in it."""
+    persons = F.transform(array, lambda x: F.coalesce(x["ID_PERSON"].cast("string"), F.lit("")))
+
+    def placed(x: Column) -> Column:
+        first = F.array_position(persons, F.coalesce(x["ID_PERSON"].cast("string"), F.lit("")))
+        return x.withField("DISPLAY_ORDER", first.cast("int"))
+
+    return F.transform(array, placed)
+
+
 def payload_credits(payloads: DataFrame, key: str) -> DataFrame:
-    """Cast and crew rows of title payloads, ordered inside each payload; the last entry of a credit counts."""
-    rows = F.concat(_entries(c("credits.cast"), "cast"), _entries(c("credits.crew"), "crew"))
-    return _last_written(_first_places(payloads.select(c("id").alias(key), F.inline(rows)), key), key)
+    """Cast and crew rows of title payloads, ordered inside each payload; the last entry of a credit counts.
+
+    The places are found inside a payload, before its credits are sent.  Only payloads whose id comes again (and a few
+    others, by a ``membership_filter`` of these ids) have theirs compared by movie.
+    """
+    cast, crew = _entries(c("credits.cast"), "cast"), _entries(c("credits.crew"), "crew")
+    again = payloads.groupBy("id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    repeated = may_hold(membership_filter(again.select(F.xxhash64("id").alias("_hash")), "_hash"), F.xxhash64("id"))
+    whole = payloads.filter(~repeated).select(c("id").alias(key), F.inline(F.concat(_placed(cast), _placed(crew))))
+    parts = payloads.filter(repeated).select(c("id").alias(key), F.inline(F.concat(cast, crew)))
+    return _last_written(whole.unionByName(_first_places(parts, key).select(*whole.columns)), key)
 
 
 def serie_credits(payloads: DataFrame) -> DataFrame:

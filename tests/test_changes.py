@@ -140,3 +140,13 @@ def test_upsert_of_few_changes_leaves_the_target_in_place(spark, audit):
     target = spark.range(1000).selectExpr("id AS K", "'a' AS V")
     plan = U.upsert(target, frame(spark, [(1, "b")], "K long, V string"), ["K"], audit)._jdf.queryExecution().toString()
     assert "FullOuter" not in plan
+
+
+def test_inserted_children_are_not_looked_up_among_the_parents(spark, rows_of):
+    """They survive anyway, so they do not move by parent."""
+    ddl = "c string, p long, v long"
+    old = spark.createDataFrame([("a", 1, 1), ("b", 1, 2), ("x", 9, 3)], ddl)
+    new = spark.createDataFrame([("b", 1, 5), ("n", 1, 6), ("m", None, 7), (None, 1, 8)], ddl)
+    got = U.replace_children(old, new, ["c"], ["p"], None, "purge", spark.createDataFrame([(1,), (None,)], "p long"))
+    assert rows_of(got) == [("b", 1, 5), ("m", None, 7), ("n", 1, 6), ("x", 9, 3)]
+    assert got._jdf.queryExecution().optimizedPlan().nodeName() == "Union"

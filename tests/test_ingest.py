@@ -200,3 +200,23 @@ def test_unreadable_payloads_are_dropped(spark, empty, audit, tmp_path):
     texts = spark.createDataFrame([("garbage{",), ("",), (None,), ('{"id": 3}',), ('{"x": 1}',)], "body string")
     assert [r.payload.id for r in parse_payloads(texts, "body", "id long, status_code int").collect()] == [3]
     assert [r.payload.k for r in parse_payloads(texts, "body", "k int, status_code int").collect()] == [None, None]
+
+
+def test_places_of_a_person_are_found_inside_a_payload(spark, land, rows_of):
+    """Payloads of one id share the first places of a person; other credits do not move before they meet by id."""
+    def cast(*persons, start):
+        return {"cast": [credit(start + k, p, character="A") for k, p in enumerate(persons)], "crew": []}
+
+    landed = land("movie", [
+        {"id": 1, "credits": cast(7, 8, 7, None, None, start=0)}, {"id": 2, "credits": cast(8, 7, start=10)},
+        {"id": 2, "credits": cast(7, 7, 8, start=20)}, {"id": 3, "credits": None},
+    ])
+    got = ingest.payload_credits(landed, "ID_MOVIE")
+    assert rows_of(got, "ID_CREDIT", "DISPLAY_ORDER") == [
+        ("c0", 1), ("c1", 2), ("c10", 1), ("c11", 1), ("c2", 1), ("c20", 1), ("c21", 1), ("c22", 1), ("c3", 4), ("c4", 4)]
+    plan = got._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() != "Union":
+        plan = plan.children().head()
+    whole = plan.children().head()
+    assert "Window" not in whole.toString()
+    assert spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, whole).count() == 5
