@@ -71,3 +71,30 @@ def test_keys_grow_with_their_variants(spark):
     texts = spark.createDataFrame([(1, "x" * 300 + "é" * 700), (2, "é" * 699 + "12345678 x"), (3, "1" + "12" * 200)], TEXTS)
     got = T.dictionary_tags(texts, ["id"], "text", entries, "tag", "variant")
     assert {r.id: r.TAGS for r in got.collect()} == {1: "|d|", 2: "|a|b|c|", 3: "|a|"}
+
+
+def test_only_places_that_may_begin_a_variant_become_pieces(spark):
+    """A text is not taken apart at every character."""
+    texts = spark.createDataFrame([(i, "abcdefgh " * 40 + f"item {i} of many") for i in range(30)], TEXTS)
+    entries = spark.createDataFrame([(f"t{i}", f"item {i} of many") for i in range(30)], ENTRIES)
+    plan = T.dictionary_tags(texts, ["id"], "text", entries, "tag", "variant")._jdf.queryExecution().optimizedPlan()
+    nodes, made = [plan], []
+    while nodes:
+        node = nodes.pop()
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName() == "Generate" and "_piece" in node.generatorOutput().toString():
+            made.append(spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, node).count())
+    assert made and max(made) <= 2 * 30 + 10
+
+
+def test_dictionary_of_any_characters(spark):
+    """Signs of regular expressions, line ends, characters beyond 16 bits, more first characters than a pattern lists."""
+    odd = [("a", "a-b]"), ("b", "^["), ("c", "\\Q.*"), ("d", "\nx"), ("e", "\U0001F600"), ("f", "\uFFFD?"), ("g", "(?"), ("h", "\u0085e\u0301")]
+    many = [(f"m{i}", chr(0x4E00 + i) + "z" * (i % 9)) for i in range(T.PATTERN_STEMS + 1)]
+    texts = [(i, "q" * (T.BLOCK - 3 + i) + v + "\U0001F600" * 5 + "zz") for i, (_, v) in enumerate(odd + many[:20])]
+    texts.append((99, "".join(v for _, v in odd) * 400))
+    for entries in (odd, odd + many):
+        got = T.dictionary_tags(
+            spark.createDataFrame(texts, TEXTS), ["id"], "text", spark.createDataFrame(entries, ENTRIES), "tag", "variant")
+        expected = {i: sorted({t for t, v in entries if v in text}) for i, text in texts}
+        assert {r.id: r.TAGS for r in got.collect()} == {i: f"|{'|'.join(t)}|" if t else "" for i, t in expected.items()}
