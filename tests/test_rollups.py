@@ -254,3 +254,21 @@ def test_properties_meet_by_entity_once(spark):
     plan = texts._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 4  # two for the join with the items, labels, entities
     assert {(r.LANG, r.P1) for r in texts.collect()} == {("fr", "un"), ("en", "one")}
+
+
+def test_department_lists_stay_where_their_rows_met(spark):
+    crew = spark.createDataFrame(
+        [(1, i, i, f"n{i}", None, "Art", "x") for i in range(5)],
+        "g long, i long, ID_PERSON long, NAME string, ALIASES string, CREW_DEPARTMENT string, CREW_JOB string")
+    lists = A.department_credits(crew.repartition("g"), ["g"], ["i"], [A.DepartmentRule("ART", "Art")])
+    assert lists._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert lists.first().names == "n0, n1, n2, n3, n4"
+
+
+def test_membership_filter_of_several_segments(spark):
+    known = spark.range(20000).selectExpr("id * 3 as k")
+    held = R.membership_filter(known.select(F.xxhash64("k").alias("_hash")), "_hash")
+    words = held.first().words
+    assert words.n == 5000 and [len(x) for x in words.words] == [1024] * 4 + [904]
+    found = spark.range(60000).filter(R.may_hold(held, F.xxhash64("id")))
+    assert found.filter("id % 3 = 0").count() == 20000 and found.count() < 25000
